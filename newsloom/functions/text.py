@@ -54,6 +54,5 @@ def words(text: Column, pattern: str = WORD_2PLUS) -> Column:
 
 def keep_token(tok: Column) -> Column:
     """M1 / M5 token rule: >= 2 letters, Latin-only tokens >= 3, not a stopword."""
-    return ((F.length(tok) >= 2)
-            & ~(tok.rlike(ASCII_WORD) & (F.length(tok) < 3))
-            & ~tok.isin(*STOPWORDS))
+    n = F.length(tok)
+    return (n >= 2) & ((n >= 3) | ~tok.rlike(ASCII_WORD)) & ~tok.isin(*STOPWORDS)

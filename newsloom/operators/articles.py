@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators.topk import top_k
-from newsloom.session import default_parallelism
+from newsloom.session import default_parallelism, write_bucketed
 
 VOCAB_SIZE = 2000     # fixed value: CountVectorizer vocabSize of the reference
 TOP_K = 20            # keywords kept per article (TF-IDF and TextRank)
@@ -103,17 +103,19 @@ def textrank_edges(sentences: DataFrame, window: int = TR_WINDOW, text_col: str
     are built per row from array slices (no self-join), then one shuffle keyed by
     article gathers each article's graph into one partition.
     """
-    w = sentences.select("article_id", "channel_id", T.words(F.col(text_col), T.WORD_ANY).alias("w"))
+    toks = T.words(F.col(text_col), T.WORD_ANY)
+    # Rejected tokens keep their position but become null, so each token is tested once.
+    w = sentences.select("article_id", "channel_id",
+                         F.transform(toks, lambda x: F.when(T.keep_token(x), x)).alias("w"))
     n = F.size("w")
     zips = [F.arrays_zip(F.slice("w", 1, F.greatest(n - d, F.lit(0))).alias("a"),
                          F.slice("w", d + 1, F.greatest(n - d, F.lit(0))).alias("b"))
             for d in range(1, window)]
     pairs = w.select("article_id", "channel_id", F.explode(F.flatten(F.array(*zips))).alias("p"))
-    pairs = pairs.select("article_id", "channel_id", F.col("p.a").alias("a"), F.col("p.b").alias("b")) \
-        .where(T.keep_token(F.col("a")) & T.keep_token(F.col("b")))
+    pairs = pairs.where(F.col("p.a").isNotNull() & F.col("p.b").isNotNull())
     both = pairs.select("article_id", "channel_id",
-                        F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
-                                          F.struct(F.col("b").alias("src"), F.col("a").alias("dst"))))
+                        F.explode(F.array(F.struct(F.col("p.a").alias("src"), F.col("p.b").alias("dst")),
+                                          F.struct(F.col("p.b").alias("src"), F.col("p.a").alias("dst"))))
                         .alias("e"))
     return both.select("article_id", "channel_id", "e.src", "e.dst")
 
@@ -126,35 +128,37 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     Weighted PageRank on each article's co-occurrence graph, computed for all
     articles at once: s(w) = (1-d) + d * sum_v c(w,v) / out(v) * s(v), start 1/n,
     ``rounds`` synchronous rounds, then scaled to (s - min/10) / (max - min/10).
-    Every frame is hash-partitioned by article_id once; each round is a
-    co-partitioned hash join + aggregate with no further shuffle.
+
+    Plan: one shuffle hash-partitions the edges by article_id; the coefficient
+    table is written bucketed by article_id to the shared checkpoint folder (lineage
+    cut, partitioning known to the planner), and every round is a partition-local
+    join + aggregate -- no shuffle per round, whatever the corpus size.
     """
     spark = sentences.sparkSession
     # Joins on (article_id, word) may reuse the article_id partitioning.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     p = partitions or default_parallelism(spark)
     raw = textrank_edges(sentences, window, text_col).repartition(p, "article_id")
-    edges = raw.groupBy("article_id", "channel_id", "src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    edges = (raw.groupBy("article_id", "channel_id", "src", "dst")
+             .agg(F.count(F.lit(1)).cast("double").alias("w")))
     out = edges.groupBy("article_id", "src").agg(F.sum("w").alias("out"))
     coef = (edges.join(out.withColumnRenamed("src", "dst"), ["article_id", "dst"])
-            .select("article_id", "src", "dst", (F.col("w") / F.col("out")).alias("c"))
-            .persist())
-    nodes = edges.groupBy("article_id", "channel_id", "src").agg(F.lit(1).alias("_one")).drop("_one")
-    n = nodes.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
-    score = nodes.join(n, "article_id").select("article_id", F.col("src").alias("node"),
-                                              (F.lit(1.0) / F.col("n")).alias("s"))
+            .select("article_id", "channel_id", "src", "dst", (F.col("w") / F.col("out")).alias("c")))
+    coef = write_bucketed(coef, ["article_id"], p, "textrank_coef")
+    nodes = coef.groupBy("article_id", "channel_id", "src").agg(F.count(F.lit(1)).alias("_deg"))
+    score = nodes.select("article_id", "channel_id", F.col("src").alias("dst"),
+                         (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("article_id"))).alias("s"))
+    base = round(1.0 - damping, 12)
     for _ in range(rounds):
-        contrib = coef.join(score.withColumnRenamed("node", "dst").hint("shuffle_hash"), ["article_id", "dst"])
-        score = (contrib.groupBy("article_id", "src")
+        contrib = coef.join(score.drop("channel_id").hint("shuffle_hash"), ["article_id", "dst"])
+        score = (contrib.groupBy("article_id", "channel_id", "src")
                  .agg(F.sum(F.col("c") * F.col("s")).alias("acc"))
-                 .select("article_id", F.col("src").alias("node"),
-                         (F.lit(1.0 - damping) + F.lit(damping) * F.col("acc")).alias("s")))
-    mm = score.groupBy("article_id").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
-    scored = (score.join(mm, "article_id")
-              .select("article_id", F.col("node").alias("keyword"),
-                      ((F.col("s") - F.col("lo") / 10.0) / (F.col("hi") - F.col("lo") / 10.0)).alias("textrank")))
-    scored = scored.join(nodes.select("article_id", "channel_id", F.col("src").alias("keyword")),
-                         ["article_id", "keyword"])
+                 .select("article_id", "channel_id", F.col("src").alias("dst"),
+                         (F.lit(base) + F.lit(damping) * F.col("acc")).alias("s")))
+    doc = Window.partitionBy("article_id")
+    lo, hi = F.min("s").over(doc), F.max("s").over(doc)
+    scored = score.select("article_id", "channel_id", F.col("dst").alias("keyword"),
+                          ((F.col("s") - lo / 10.0) / (hi - lo / 10.0)).alias("textrank"))
     ranked = top_k(scored, ["article_id"], [F.round("textrank", 9).desc(), F.col("keyword").asc()], k)
     return ranked.select("article_id", "channel_id", "keyword", "textrank")
 

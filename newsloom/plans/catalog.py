@@ -62,3 +62,143 @@ def q_interest_weight(spark, sf_dir):
 @query("user_age")
 def q_user_age(spark, sf_dir):
     return BH.user_basic(S.user_profile(spark, sf_dir), AS_OF)
+
+
+# ------------------------------------------------------------------ articles
+
+from newsloom.operators import articles as A  # noqa: E402
+from newsloom.sources import ingest as I  # noqa: E402
+from newsloom.functions import text as TX  # noqa: E402
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 article_data for the whole corpus."""
+    return A.merge_article_data(S.news_article_basic(spark, sf_dir), S.news_article_content(spark, sf_dir),
+                                S.news_channel(spark, sf_dir))
+
+
+def n_documents(spark: SparkSession, sf_dir: str) -> int:
+    """m of the IDF formula (a parquet footer count, no data scan)."""
+    return S.read_table(spark, sf_dir, "documents").count()
+
+
+def filtered_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.term_frequency(A.article_words(sentences(spark, sf_dir)), filtered=True)
+
+
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.vocab_idf(filtered_tf(spark, sf_dir), n_documents(spark, sf_dir))
+
+
+def tfidf_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.tfidf_top_k(filtered_tf(spark, sf_dir), vocabulary(spark, sf_dir))
+
+
+def textrank_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.textrank(sentences(spark, sf_dir))
+
+
+def profile(spark: SparkSession, sf_dir: str, mode: str = "global") -> DataFrame:
+    """T12 article_profile: keyword map (TextRank x IDF) + topics."""
+    tr = textrank_keywords(spark, sf_dir)
+    weights = A.keyword_weights(tr, vocabulary(spark, sf_dir))
+    topics = A.article_topics(tfidf_keywords(spark, sf_dir), tr, mode)
+    return A.article_profile(weights, topics)
+
+
+@query("last_hour_articles")
+def q_last_hour_articles(spark, sf_dir):
+    a = A.last_hour(S.news_article_review(spark, sf_dir), AS_OF)
+    return a.select("article_id", "channel_id", "title", "status",
+                    F.date_format("update_time", "yyyy-MM-dd HH:mm:ss").alias("update_time"))
+
+
+@query("upsert_by_key")
+def q_upsert_by_key(spark, sf_dir):
+    u = I.upsert(S.orders_base(spark, sf_dir), S.orders_delta(spark, sf_dir), ["o_orderkey"], "update_time")
+    return u.withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("clean_title")
+def q_clean_title(spark, sf_dir):
+    b = S.news_article_basic(spark, sf_dir)
+    return b.select("article_id", TX.clean_title(F.col("title")).alias("title"))
+
+
+@query("strip_html")
+def q_strip_html(spark, sf_dir):
+    p = S.read_table(spark, sf_dir, "pages")
+    return p.select("page_id", TX.strip_html(F.col("html")).alias("text"))
+
+
+@query("drop_delims")
+def q_drop_delims(spark, sf_dir):
+    return I.clean_text_columns(S.news_article_content(spark, sf_dir), ["content"])
+
+
+@query("article_sentence")
+def q_article_sentence(spark, sf_dir):
+    return sentences(spark, sf_dir).select("article_id", "channel_id", "channel_name", "title", "sentence")
+
+
+@query("tokens")
+def q_tokens(spark, sf_dir):
+    return A.term_frequency(A.article_words(sentences(spark, sf_dir)), filtered=False)
+
+
+@query("token_filtered")
+def q_token_filtered(spark, sf_dir):
+    return filtered_tf(spark, sf_dir)
+
+
+@query("vocab_idf")
+def q_vocab_idf(spark, sf_dir):
+    return vocabulary(spark, sf_dir).withColumn("idf", F.round("idf", 6))
+
+
+@query("tfidf_top20")
+def q_tfidf_top20(spark, sf_dir):
+    return tfidf_keywords(spark, sf_dir)
+
+
+@query("textrank_top20")
+def q_textrank_top20(spark, sf_dir):
+    return textrank_keywords(spark, sf_dir).withColumn("textrank", F.round("textrank", 6))
+
+
+@query("keyword_weights")
+def q_keyword_weights(spark, sf_dir):
+    w = A.keyword_weights(textrank_keywords(spark, sf_dir), vocabulary(spark, sf_dir))
+    return w.withColumn("weight", F.round("weight", 6))
+
+
+def _topics_exploded(spark, sf_dir, mode):
+    t = A.article_topics(tfidf_keywords(spark, sf_dir), textrank_keywords(spark, sf_dir), mode)
+    return t.select("article_id", F.explode("topics").alias("topic"))
+
+
+@query("article_topics_global")
+def q_article_topics_global(spark, sf_dir):
+    return _topics_exploded(spark, sf_dir, "global")
+
+
+@query("article_topics_per_article")
+def q_article_topics_per_article(spark, sf_dir):
+    return _topics_exploded(spark, sf_dir, "per_article")
+
+
+@query("article_profile_exploded")
+def q_article_profile_exploded(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    kw = p.select("article_id", "channel_id", F.lit("keyword").alias("kind"),
+                  F.explode("keywords").alias("term", "weight")).withColumn("weight", F.round("weight", 6))
+    tp = p.select("article_id", "channel_id", F.lit("topic").alias("kind"), F.explode("topics").alias("term"),
+                  F.lit(None).cast("double").alias("weight"))
+    return kw.unionByName(tp)
+
+
+@query("user_topic_weight")
+def q_user_topic_weight(spark, sf_dir):
+    """Flagship: how much each user cares about each topic, per channel."""
+    w = BH.user_topic_weights(behavior(spark, sf_dir), profile(spark, sf_dir), AS_OF)
+    return w.withColumn("weight", F.round("weight", 6))

@@ -96,3 +96,171 @@ SELECT user_id, gender,
                    THEN 1 ELSE 0 END, 0) AS INTEGER) AS age
 FROM up
 """
+
+
+# ------------------------------------------------------------------ articles
+
+CHANNEL_EXPR = "CAST(CAST(substr(source, 4) AS INTEGER) + 1 AS INTEGER)"
+
+SENT_CTES = f"""
+basic_a AS (SELECT doc_id AS article_id, {CHANNEL_EXPR} AS channel_id, split_part(text, chr(10), 1) AS title
+            FROM documents),
+content_a AS (SELECT doc_id AS article_id, text AS content FROM documents),
+chan AS (SELECT channel_id, min(source) AS channel_name
+         FROM (SELECT {CHANNEL_EXPR} AS channel_id, source FROM documents) GROUP BY channel_id),
+sent AS (SELECT b.article_id, b.channel_id, ch.channel_name, b.title, c.content,
+                concat_ws(',', ch.channel_name, b.title, c.content) AS sentence
+         FROM basic_a b JOIN content_a c USING (article_id) LEFT JOIN chan ch USING (channel_id))
+"""
+
+KEEP = (f"(length({{t}}) >= 2 AND NOT (regexp_matches({{t}}, '^[a-z]+$') AND length({{t}}) < 3)"
+        f" AND {{t}} NOT IN ({_STOP}))")
+
+TOKEN_CTES = SENT_CTES + r""",
+wrd AS (SELECT article_id, channel_id,
+               regexp_extract_all(lower(regexp_replace(sentence, '<.*?>', '', 'g')), '\p{L}{2,}') AS words
+        FROM sent),
+tok AS (SELECT article_id, channel_id, unnest(words) AS token FROM wrd),
+tf_all AS (SELECT article_id, channel_id, token, count(*) AS tf FROM tok GROUP BY article_id, channel_id, token),
+tf AS (SELECT article_id, channel_id, token, count(*) AS tf FROM tok WHERE """ + KEEP.format(t="token") + r"""
+       GROUP BY article_id, channel_id, token)
+"""
+
+VOCAB_CTES = TOKEN_CTES + """,
+stats AS (SELECT token, sum(tf) AS total, count(*) AS df FROM tf GROUP BY token),
+vocab AS (SELECT token AS keyword,
+                 ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) AS idf,
+                 CAST(row_number() OVER (ORDER BY total DESC, token ASC) - 1 AS INTEGER) AS index
+          FROM stats ORDER BY total DESC, token ASC LIMIT 2000),
+tfidf_all AS (SELECT tf.article_id, tf.channel_id, tf.token AS keyword, v.index, tf.tf * v.idf AS tfidf
+              FROM tf JOIN vocab v ON v.keyword = tf.token),
+tfidf_top AS (SELECT article_id, channel_id, keyword, index, round(tfidf, 4) AS tfidf
+              FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round(tfidf, 9) DESC, index ASC) AS rn
+                    FROM tfidf_all) WHERE rn <= 20)
+"""
+
+
+def _textrank_ctes(rounds: int = 10) -> str:
+    body = r""",
+tw AS (SELECT article_id, channel_id, regexp_extract_all(lower(sentence), '\p{L}+') AS w FROM sent),
+tp AS (SELECT article_id, channel_id, unnest(w) AS tok, generate_subscripts(w, 1) AS pos FROM tw),
+tk AS (SELECT article_id, channel_id, tok, pos, """ + KEEP.format(t="tok") + r""" AS keep FROM tp),
+pr AS (SELECT a.article_id, a.channel_id, a.tok AS a, b.tok AS b
+       FROM tk a CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS d) off
+       JOIN tk b ON b.article_id = a.article_id AND b.pos = a.pos + off.d
+       WHERE a.keep AND b.keep),
+ed AS (SELECT article_id, channel_id, src, dst, CAST(count(*) AS DOUBLE) AS w
+       FROM (SELECT article_id, channel_id, a AS src, b AS dst FROM pr
+             UNION ALL SELECT article_id, channel_id, b AS src, a AS dst FROM pr)
+       GROUP BY article_id, channel_id, src, dst),
+ou AS (SELECT article_id, src, sum(w) AS out FROM ed GROUP BY article_id, src),
+cf AS (SELECT ed.article_id, ed.src, ed.dst, ed.w / ou.out AS c
+       FROM ed JOIN ou ON ou.article_id = ed.article_id AND ou.src = ed.dst),
+nodes AS (SELECT DISTINCT article_id, channel_id, src FROM ed),
+s0 AS (SELECT article_id, src AS node, 1e0 / count(*) OVER (PARTITION BY article_id) AS s FROM nodes)"""
+    for i in range(1, rounds + 1):
+        body += f""",
+s{i} AS (SELECT cf.article_id, cf.src AS node, 0.15e0 + 0.85e0 * sum(cf.c * p.s) AS s
+        FROM cf JOIN s{i - 1} p ON p.article_id = cf.article_id AND p.node = cf.dst
+        GROUP BY cf.article_id, cf.src)"""
+    body += f""",
+mm AS (SELECT article_id, min(s) AS lo, max(s) AS hi FROM s{rounds} GROUP BY article_id),
+sc AS (SELECT s.article_id, n.channel_id, s.node AS keyword,
+              (s.s - mm.lo / 10e0) / (mm.hi - mm.lo / 10e0) AS textrank
+       FROM s{rounds} s JOIN mm USING (article_id)
+       JOIN nodes n ON n.article_id = s.article_id AND n.src = s.node),
+tr AS (SELECT article_id, channel_id, keyword, textrank
+       FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round(textrank, 9) DESC, keyword ASC) AS rn
+             FROM sc) WHERE rn <= 20)
+"""
+    return body
+
+
+TEXTRANK_CTES = SENT_CTES + _textrank_ctes()
+
+PROFILE_CTES = VOCAB_CTES + _textrank_ctes() + """,
+kwt AS (SELECT tr.article_id, tr.channel_id, tr.keyword, tr.textrank * v.idf AS weight
+        FROM tr JOIN vocab v ON v.keyword = tr.keyword),
+topics_g AS (SELECT DISTINCT article_id, keyword AS topic FROM tfidf_top
+             WHERE keyword IN (SELECT keyword FROM tr)),
+prof_kw AS (SELECT k.* FROM kwt k WHERE k.article_id IN (SELECT article_id FROM topics_g)),
+prof_ch AS (SELECT article_id, min(channel_id) AS channel_id FROM prof_kw GROUP BY article_id),
+prof_tp AS (SELECT t.article_id, p.channel_id, t.topic FROM topics_g t JOIN prof_ch p USING (article_id))
+"""
+
+ORACLE["last_hour_articles"] = f"""
+WITH a AS (
+  SELECT d.doc_id AS article_id, {CHANNEL_EXPR} AS channel_id, split_part(d.text, chr(10), 1) AS title,
+         CAST(CASE WHEN l.toxic = 1 THEN 3 ELSE 2 END AS INTEGER) AS status,
+         to_timestamp(epoch(TIMESTAMP '{AS_OF}') - 86400 + (d.doc_id * 7919) % 86400) AT TIME ZONE 'UTC' AS ut
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT article_id, channel_id, title, status, strftime(ut, '%Y-%m-%d %H:%M:%S') AS update_time
+FROM a
+WHERE ut >= date_trunc('hour', TIMESTAMP '{AS_OF}') - INTERVAL 1 HOUR
+  AND ut < date_trunc('hour', TIMESTAMP '{AS_OF}') AND status = 2
+"""
+
+ORACLE["upsert_by_key"] = f"""
+WITH base AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS update_time, 0 AS d
+              FROM orders),
+delta AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE 'P' END AS o_orderstatus,
+                 round(o_totalprice * 1.05e0, 2) AS o_totalprice,
+                 CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END AS update_time,
+                 1 AS d
+          FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDER_DELTA_FROM}' AND o_orderstatus IN ('O', 'P')),
+u AS (SELECT * FROM base UNION ALL SELECT * FROM delta)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(update_time, '%Y-%m-%d %H:%M:%S') AS update_time
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY update_time DESC, d DESC) AS rn FROM u)
+WHERE rn = 1
+"""
+
+ORACLE["clean_title"] = """
+SELECT doc_id AS article_id,
+       replace(regexp_replace(split_part(text, chr(10), 1), '[\r\n]', '', 'g'), ',', ' ') AS title
+FROM documents
+"""
+
+ORACLE["strip_html"] = "SELECT page_id, regexp_replace(html, '<.*?>', '', 'g') AS text FROM pages"
+
+ORACLE["drop_delims"] = ("SELECT doc_id AS article_id, regexp_replace(text, '[' || chr(10) || chr(13) || chr(1) || ']',"
+                         " '', 'g') AS content FROM documents")
+
+ORACLE["article_sentence"] = _with(SENT_CTES) + "SELECT article_id, channel_id, channel_name, title, sentence FROM sent"
+
+ORACLE["tokens"] = _with(TOKEN_CTES) + "SELECT * FROM tf_all"
+
+ORACLE["token_filtered"] = _with(TOKEN_CTES) + "SELECT * FROM tf"
+
+ORACLE["vocab_idf"] = _with(VOCAB_CTES) + "SELECT keyword, round(idf, 6) AS idf, index FROM vocab"
+
+ORACLE["tfidf_top20"] = _with(VOCAB_CTES) + "SELECT * FROM tfidf_top"
+
+ORACLE["textrank_top20"] = _with(TEXTRANK_CTES) + \
+    "SELECT article_id, channel_id, keyword, round(textrank, 6) AS textrank FROM tr"
+
+ORACLE["keyword_weights"] = _with(PROFILE_CTES) + \
+    "SELECT article_id, channel_id, keyword, round(weight, 6) AS weight FROM kwt"
+
+ORACLE["article_topics_global"] = _with(PROFILE_CTES) + "SELECT article_id, topic FROM topics_g"
+
+ORACLE["article_topics_per_article"] = _with(PROFILE_CTES) + """
+SELECT DISTINCT t.article_id, t.keyword AS topic FROM tfidf_top t
+WHERE EXISTS (SELECT 1 FROM tr WHERE tr.article_id = t.article_id AND tr.keyword = t.keyword)
+"""
+
+ORACLE["article_profile_exploded"] = _with(PROFILE_CTES) + """
+SELECT k.article_id, c.channel_id, 'keyword' AS kind, k.keyword AS term, round(k.weight, 6) AS weight
+FROM prof_kw k JOIN prof_ch c USING (article_id)
+UNION ALL
+SELECT article_id, channel_id, 'topic' AS kind, topic AS term, CAST(NULL AS DOUBLE) AS weight FROM prof_tp
+"""
+
+ORACLE["user_topic_weight"] = _with(BEHAVIOR_CTES, PROFILE_CTES) + f""",
+w AS (SELECT user_id, article_id, action_time, {_weight()} AS weight FROM basic),
+r AS (SELECT w.user_id, p.channel_id, p.topic, w.action_time, w.article_id, w.weight
+      FROM w JOIN prof_tp p USING (article_id))
+SELECT user_id, channel_id, topic, round(weight, 6) AS weight
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, channel_id, topic
+                                   ORDER BY action_time DESC, article_id DESC) AS rn FROM r)
+WHERE rn = 1
+"""

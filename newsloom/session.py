@@ -28,6 +28,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("NEWSLOOM_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -83,3 +85,18 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always set in practice
         return os.cpu_count() or 8
+
+
+def write_bucketed(df, keys: list[str], buckets: int, name: str):
+    """Materialise ``df`` as a table bucketed by ``keys`` in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Reads of a bucketed table are hash-partitioned on ``keys``, so joins and
+    aggregates keyed by them run partition-local (no shuffle), and the write cuts
+    the lineage: a lost executor re-reads files instead of recomputing the plan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    df.write.bucketBy(buckets, *keys).option("path", path).mode("overwrite").saveAsTable(table)
+    return spark.table(table)
