@@ -130,9 +130,10 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     ``rounds`` synchronous rounds, then scaled to (s - min/10) / (max - min/10).
 
     Plan: one shuffle hash-partitions the edges by article_id; the coefficient
-    table is written bucketed by article_id to the shared checkpoint folder (lineage
-    cut, partitioning known to the planner), and every round is a partition-local
-    join + aggregate -- no shuffle per round, whatever the corpus size.
+    table and each round's scores are written bucketed by article_id to the shared
+    checkpoint folder (lineage cut per round, partitioning known to the planner), so
+    every round is a partition-local join + aggregate -- no shuffle per round, and
+    a lost executor costs at most one round.
     """
     spark = sentences.sparkSession
     # Joins on (article_id, word) may reuse the article_id partitioning.
@@ -150,7 +151,8 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
                          (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("article_id"))).alias("s"))
     base = round(1.0 - damping, 12)
     for _ in range(rounds):
-        contrib = coef.join(score.drop("channel_id").hint("shuffle_hash"), ["article_id", "dst"])
+        score = write_bucketed(score, ["article_id"], p, "textrank_score")
+        contrib = coef.join(score.drop("channel_id"), ["article_id", "dst"])
         score = (contrib.groupBy("article_id", "channel_id", "src")
                  .agg(F.sum(F.col("c") * F.col("s")).alias("acc"))
                  .select("article_id", "channel_id", F.col("src").alias("dst"),

@@ -202,3 +202,151 @@ def q_user_topic_weight(spark, sf_dir):
     """Flagship: how much each user cares about each topic, per channel."""
     w = BH.user_topic_weights(behavior(spark, sf_dir), profile(spark, sf_dir), AS_OF)
     return w.withColumn("weight", F.round("weight", 6))
+
+
+# ------------------------------------------------------------------ vectors and similarity
+
+from newsloom.operators import similarity as SIM  # noqa: E402
+from newsloom.operators import vectors as VEC  # noqa: E402
+from newsloom.session import default_parallelism  # noqa: E402
+
+EMBED_DIM = 64
+
+
+def similar(spark: SparkSession, sf_dir: str, order: str = "nearest") -> DataFrame:
+    """K1 article_similar: top-10 similar articles per article (LSH, verified distances)."""
+    return SIM.similar_top_k(S.article_vector(spark, sf_dir), order=order, dim=EMBED_DIM)
+
+
+@query("similar_top10")
+def q_similar_top10(spark, sf_dir):
+    s = similar(spark, sf_dir)
+    return s.select("article_id", "channel_id", "similar_id", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query("channel_centroid")
+def q_channel_centroid(spark, sf_dir):
+    m = VEC.mean_vector(S.article_vector(spark, sf_dir), ["channel_id"], "articleVector", "centroid")
+    return m.select("channel_id", F.posexplode("centroid").alias("pos", "value")) \
+        .withColumn("value", F.round("value", 6))
+
+
+@query("word2vec_article_vector")
+def q_word2vec_article_vector(spark, sf_dir):
+    words = A.article_words(sentences(spark, sf_dir)).select(
+        "article_id", F.filter("words", lambda t: TX.keep_token(t)).alias("words"))
+    model = VEC.train_word2vec(words, seed=SIM.SEED, num_partitions=default_parallelism(spark))
+    return VEC.article_vectors(profile(spark, sf_dir), VEC.word_vectors(model))
+
+
+# ------------------------------------------------------------------ recall
+
+from newsloom.operators import recall as RC  # noqa: E402
+from newsloom.operators import features as FT  # noqa: E402
+
+
+def exposure_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 history_recall seed: articles already shown to a user in a channel, one
+    version per day (pure exposures of the log)."""
+    f = flat_actions(spark, sf_dir)
+    return f.where(~(F.col("shared") | F.col("clicked") | F.col("collected"))).select(
+        "user_id", "channel_id", "article_id", F.substring("action_time", 1, 10).alias("version_ts"))
+
+
+def clicked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return behavior(spark, sf_dir).where(F.col("clicked")).select("user_id", "article_id", "channel_id")
+
+
+@query("id_index")
+def q_id_index(spark, sf_dir):
+    o = S.read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+    return RC.dense_index(o, "user_id", "als_user_id")
+
+
+@query("als_recall")
+def q_als_recall(spark, sf_dir):
+    model, uidx, aidx = RC.fit_als(S.purchase_clicks(spark, sf_dir), seed=SIM.SEED)
+    rows = RC.als_recall(model, uidx, aidx, S.item_channel(spark, sf_dir))
+    rows = RC.filter_history(rows, exposure_history(spark, sf_dir))
+    return rows.select("user_id", "channel_id", "article_id", F.round("score", 6).alias("score"), "pos")
+
+
+@query("content_recall")
+def q_content_recall(spark, sf_dir):
+    cand = RC.content_candidates(clicked_articles(spark, sf_dir), similar(spark, sf_dir))
+    return RC.filter_history(cand, exposure_history(spark, sf_dir))
+
+
+@query("history_filter")
+def q_history_filter(spark, sf_dir):
+    cand = RC.content_candidates(clicked_articles(spark, sf_dir), similar(spark, sf_dir))
+    return RC.filter_history(cand, exposure_history(spark, sf_dir), compat="skip_oldest")
+
+
+@query("recall_latest")
+def q_recall_latest(spark, sf_dir):
+    """K2 store with one version per click day; the newest list per (user, source, channel)."""
+    f = flat_actions(spark, sf_dir).where(F.col("clicked"))
+    clicks = f.select("user_id", "article_id", "channel_id", F.substring("action_time", 1, 10).alias("day"))
+    sim = similar(spark, sf_dir).where(F.col("rank") <= RC.CONTENT_TOP).select("article_id", "similar_id")
+    rows = clicks.join(sim, "article_id").select(
+        "user_id", "channel_id", F.col("similar_id").alias("article_id"), F.col("day").alias("version_ts")).distinct()
+    store = RC.versioned_rows(rows, "content", F.col("version_ts"))
+    return RC.latest_version(store)
+
+
+# ------------------------------------------------------------------ features and CTR
+
+def user_partial(spark: SparkSession, sf_dir: str, prof: DataFrame | None = None) -> DataFrame:
+    """K4 partial weights (user, channel, topic, weight)."""
+    prof = prof if prof is not None else profile(spark, sf_dir)
+    return BH.user_topic_weights(behavior(spark, sf_dir), prof, AS_OF)
+
+
+@query("user_channel_features")
+def q_user_channel_features(spark, sf_dir):
+    w = FT.user_channel_weights(user_partial(spark, sf_dir))
+    return w.withColumn("weight", F.round("weight", 6))
+
+
+@query("article_features")
+def q_article_features(spark, sf_dir):
+    f = FT.article_features(FT.article_weights(profile(spark, sf_dir)), S.article_vector(spark, sf_dir))
+    return f.select("article_id", F.posexplode("features").alias("pos", "value")) \
+        .withColumn("value", F.round("value", 6))
+
+
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = profile(spark, sf_dir)
+    return FT.ctr_training_set(behavior(spark, sf_dir), FT.user_channel_weights(user_partial(spark, sf_dir, prof)),
+                               S.article_vector(spark, sf_dir), FT.article_weights(prof))
+
+
+@query("ctr_training_set")
+def q_ctr_training_set(spark, sf_dir):
+    t = training_set(spark, sf_dir)
+    return t.select("user_id", "article_id", "clicked", "channel_id", F.posexplode("features").alias("pos", "value")) \
+        .withColumn("value", F.round("value", 6))
+
+
+@query("ctr_score")
+def q_ctr_score(spark, sf_dir):
+    t = training_set(spark, sf_dir)
+    model = FT.fit_ctr(t)
+    return FT.ctr_scores(model, t).withColumn("p_click", F.round("p_click", 6))
+
+
+@query("kv_export_keys")
+def q_kv_export_keys(spark, sf_dir):
+    """Profile rows in the key-value layout, and the id parsed back."""
+    p = user_partial(spark, sf_dir).select(
+        F.format_string("user:%d", "user_id").alias("row_key"),
+        F.format_string("partial:%d:%s", "channel_id", "topic").alias("column_key"),
+        F.format_string("%.6f", F.round("weight", 6)).alias("value"))
+    b = BH.user_basic(S.user_profile(spark, sf_dir), AS_OF)
+    g = b.select(F.format_string("user:%d", "user_id").alias("row_key"), F.lit("basic:gender").alias("column_key"),
+                 F.lower(F.col("gender").cast("string")).alias("value"))
+    a = b.select(F.format_string("user:%d", "user_id").alias("row_key"), F.lit("basic:birthday").alias("column_key"),
+                 F.col("age").cast("string").alias("value"))
+    u = p.unionByName(g).unionByName(a)
+    return u.withColumn("user_id", F.split_part("row_key", F.lit(":"), F.lit(2)).cast("bigint"))

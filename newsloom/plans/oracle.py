@@ -264,3 +264,193 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, channel_id, topic
                                    ORDER BY action_time DESC, article_id DESC) AS rn FROM r)
 WHERE rn = 1
 """
+
+
+# ------------------------------------------------------------------ vectors and similarity
+
+from newsloom.operators import similarity as _SIM  # noqa: E402
+
+
+def _dlit(x: float) -> str:
+    r = repr(float(x))
+    return r if "e" in r else r + "e0"
+
+
+def _similar_ctes(k: int = _SIM.TOP_K, dim: int = 64) -> str:
+    proj = _SIM.projections(dim, _SIM.NUM_TABLES, _SIM.PROJ_PER_LEVEL, _SIM.LEVELS, _SIM.SEED)
+    m, lv_n, mx = _SIM.PROJ_PER_LEVEL, _SIM.LEVELS, _SIM.MAX_BUCKET
+    hs = []
+    for t in range(proj.shape[0]):
+        hv = ", ".join(
+            f"CAST(floor(list_dot_product(vec, [{', '.join(_dlit(x) for x in proj[t, j])}]) / {_dlit(_SIM.BUCKET_LENGTH)}) AS BIGINT)"
+            for j in range(proj.shape[1]))
+        hs.append(f"SELECT article_id, channel_id, vec, {t} AS t, [{hv}] AS h FROM reps")
+    lv = ",\n".join(f"lv{i} AS (SELECT channel_id, t, h[1:{i * m}] AS k, count(*) AS n FROM hs GROUP BY ALL)"
+                     for i in range(1, lv_n + 1))
+    joins = " ".join(f"JOIN lv{i} ON lv{i}.channel_id = hs.channel_id AND lv{i}.t = hs.t AND lv{i}.k = hs.h[1:{i * m}]"
+                     for i in range(1, lv_n + 1))
+    case = "CASE " + " ".join(f"WHEN lv{i}.n <= {mx} THEN [CAST({i} AS BIGINT)] || hs.h[1:{i * m}]"
+                              for i in range(1, lv_n)) + f" ELSE [CAST({lv_n} AS BIGINT)] || hs.h[1:{lv_n * m}] END"
+    return f"""
+v AS (SELECT vec_id AS article_id, CAST(label + 1 AS INTEGER) AS channel_id, CAST(embedding AS DOUBLE[]) AS vec
+      FROM embeddings),
+grp AS (SELECT channel_id, vec, min(article_id) AS rep FROM v GROUP BY channel_id, vec),
+mem AS (SELECT v.article_id, v.channel_id, g.rep FROM v JOIN grp g ON g.channel_id = v.channel_id AND g.vec = v.vec),
+heads AS (SELECT rep, article_id AS head
+          FROM (SELECT rep, article_id, row_number() OVER (PARTITION BY rep ORDER BY article_id) AS rn FROM mem)
+          WHERE rn <= {k + 1}),
+reps AS (SELECT rep AS article_id, channel_id, vec FROM grp),
+hs AS ({" UNION ALL ".join(hs)}),
+{lv},
+keyed AS (SELECT hs.article_id, hs.channel_id, hs.vec, hs.t, {case} AS key FROM hs {joins}),
+dist AS (SELECT DISTINCT a.article_id AS a, b.article_id AS b, list_distance(a.vec, b.vec) AS d
+         FROM keyed a JOIN keyed b ON a.channel_id = b.channel_id AND a.t = b.t AND a.key = b.key
+         WHERE a.article_id <> b.article_id AND list_distance(a.vec, b.vec) < {_dlit(_SIM.THRESHOLD)}),
+nbr AS (SELECT a, b, d FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(d, 9), b) AS rn FROM dist)
+        WHERE rn <= {k}),
+lists0 AS (SELECT n.a AS rep, h.head AS cand, n.d FROM nbr n JOIN heads h ON h.rep = n.b
+           UNION ALL SELECT rep, head AS cand, 0e0 AS d FROM heads),
+lists AS (SELECT rep, cand, d FROM (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY round(d, 9), cand) AS rn
+                                    FROM lists0) WHERE rn <= {k + 1}),
+sim_out AS (SELECT m.article_id, m.channel_id, l.cand AS similar_id, l.d AS distance
+            FROM mem m JOIN lists l ON l.rep = m.rep WHERE l.cand <> m.article_id),
+sim AS (SELECT article_id, channel_id, similar_id, distance, CAST(rn AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round(distance, 9), similar_id) AS rn
+              FROM sim_out) WHERE rn <= {k})
+"""
+
+
+SIMILAR_CTES = _similar_ctes()
+
+ORACLE["similar_top10"] = _with(SIMILAR_CTES) + \
+    "SELECT article_id, channel_id, similar_id, round(distance, 6) AS distance, rank FROM sim"
+
+ORACLE["channel_centroid"] = """
+WITH e AS (SELECT CAST(label + 1 AS INTEGER) AS channel_id, unnest(CAST(embedding AS DOUBLE[])) AS x,
+                  CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos FROM embeddings)
+SELECT channel_id, pos, round(avg(x), 6) AS value FROM e GROUP BY channel_id, pos
+"""
+
+
+# ------------------------------------------------------------------ recall, features
+
+UTW_CTES = BEHAVIOR_CTES + ",\n" + PROFILE_CTES + f""",
+w_ui AS (SELECT user_id, article_id, action_time, {_weight()} AS weight FROM basic),
+r_ut AS (SELECT w.user_id, p.channel_id, p.topic, w.action_time, w.article_id, w.weight
+         FROM w_ui w JOIN prof_tp p USING (article_id)),
+utw AS (SELECT user_id, channel_id, topic, weight
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, channel_id, topic
+                                           ORDER BY action_time DESC, article_id DESC) AS rn FROM r_ut)
+        WHERE rn = 1)
+"""
+
+HIST_CTES = f"""
+ua AS ({USER_ACTION}),
+fl AS ({FLAT}),
+basic AS ({MERGE_BODY.format(src='fl')}),
+hist AS (SELECT user_id, channel_id, article_id, substr(action_time, 1, 10) AS version_ts
+         FROM fl WHERE NOT (shared OR clicked OR collected)),
+clicks AS (SELECT user_id, article_id, channel_id FROM basic WHERE clicked),
+cand AS (SELECT DISTINCT c.user_id, c.channel_id, s.similar_id AS article_id
+         FROM clicks c JOIN sim s ON s.article_id = c.article_id WHERE s.rank <= 10)
+"""
+
+ORACLE["id_index"] = """
+SELECT user_id, CAST(row_number() OVER (ORDER BY cnt DESC, CAST(user_id AS VARCHAR)) - 1 AS INTEGER) AS als_user_id
+FROM (SELECT o_custkey AS user_id, count(*) AS cnt FROM orders GROUP BY o_custkey)
+"""
+
+ORACLE["content_recall"] = _with(SIMILAR_CTES, HIST_CTES) + """
+SELECT user_id, channel_id, article_id FROM cand
+WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = cand.user_id AND h.channel_id = cand.channel_id
+                                         AND h.article_id = cand.article_id)
+"""
+
+ORACLE["history_filter"] = _with(SIMILAR_CTES, HIST_CTES) + """,
+hv AS (SELECT user_id, channel_id, min(version_ts) AS oldest, count(DISTINCT version_ts) AS nv
+       FROM hist GROUP BY user_id, channel_id),
+hist2 AS (SELECT h.* FROM hist h JOIN hv ON hv.user_id = h.user_id AND hv.channel_id = h.channel_id
+          WHERE hv.nv >= 2 AND h.version_ts > hv.oldest)
+SELECT user_id, channel_id, article_id FROM cand
+WHERE NOT EXISTS (SELECT 1 FROM hist2 h WHERE h.user_id = cand.user_id AND h.channel_id = cand.channel_id
+                                          AND h.article_id = cand.article_id)
+"""
+
+ORACLE["recall_latest"] = _with(f"ua AS ({USER_ACTION})", f"fl AS ({FLAT})", SIMILAR_CTES) + """,
+vers AS (SELECT DISTINCT f.user_id, 'content' AS source, f.channel_id, s.similar_id AS article_id,
+                substr(f.action_time, 1, 10) AS version_ts
+         FROM fl f JOIN sim s ON s.article_id = f.article_id WHERE f.clicked AND s.rank <= 10),
+newest AS (SELECT user_id, source, channel_id, max(version_ts) AS version_ts FROM vers GROUP BY ALL)
+SELECT v.* FROM vers v JOIN newest n ON n.user_id = v.user_id AND n.source = v.source
+  AND n.channel_id = v.channel_id AND n.version_ts = v.version_ts
+"""
+
+UCF_CTES = UTW_CTES + """,
+uranked AS (SELECT user_id, channel_id, weight,
+                   row_number() OVER (PARTITION BY user_id, channel_id ORDER BY round(weight, 9), topic) AS slot
+            FROM utw),
+ugrid AS (SELECT u.user_id, CAST(c.channel_id AS INTEGER) AS channel_id, CAST(s.slot AS INTEGER) AS slot
+          FROM (SELECT DISTINCT user_id FROM utw) u, range(1, 26) c(channel_id), range(1, 11) s(slot)),
+ucf AS (SELECT g.user_id, g.channel_id, g.slot, coalesce(r.weight, 0e0) AS weight
+        FROM ugrid g LEFT JOIN uranked r ON r.user_id = g.user_id AND r.channel_id = g.channel_id
+                                         AND r.slot = g.slot)
+"""
+
+AF_CTES = """,
+aranked AS (SELECT article_id, weight, row_number() OVER (PARTITION BY article_id ORDER BY weight) AS slot
+            FROM prof_kw),
+agrid AS (SELECT p.article_id, p.channel_id, CAST(s.slot AS INTEGER) AS slot FROM prof_ch p, range(1, 11) s(slot)),
+aw AS (SELECT g.article_id, g.channel_id, g.slot, coalesce(r.weight, 0e0) AS weight
+       FROM agrid g LEFT JOIN aranked r ON r.article_id = g.article_id AND r.slot = g.slot),
+vecs AS (SELECT vec_id AS article_id, CAST(label + 1 AS INTEGER) AS channel_id, CAST(embedding AS DOUBLE[]) AS vec
+         FROM embeddings),
+vexp AS (SELECT article_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM vecs)
+"""
+
+ORACLE["user_channel_features"] = _with(UCF_CTES) + \
+    "SELECT user_id, channel_id, slot, round(weight, 6) AS weight FROM ucf"
+
+ORACLE["article_features"] = _with(PROFILE_CTES + AF_CTES) + """,
+af AS (SELECT p.article_id, 0 AS pos, CAST(p.channel_id AS DOUBLE) AS value
+       FROM prof_ch p WHERE p.article_id IN (SELECT article_id FROM vecs)
+       UNION ALL
+       SELECT a.article_id, a.slot AS pos, a.weight AS value
+       FROM aw a WHERE a.article_id IN (SELECT article_id FROM vecs)
+       UNION ALL
+       SELECT x.article_id, 10 + x.i AS pos, x.x AS value
+       FROM vexp x WHERE x.article_id IN (SELECT article_id FROM prof_ch))
+SELECT article_id, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM af
+"""
+
+ORACLE["ctr_training_set"] = _with(UCF_CTES + AF_CTES) + """,
+tr_rows AS (SELECT b.user_id, b.article_id, CAST(b.clicked AS INTEGER) AS clicked, v.channel_id
+            FROM basic b JOIN vecs v ON v.article_id = b.article_id
+            WHERE b.user_id IN (SELECT user_id FROM utw) AND b.article_id IN (SELECT article_id FROM prof_ch)),
+feat AS (SELECT t.*, 0 AS pos, CAST(t.channel_id AS DOUBLE) AS value FROM tr_rows t
+         UNION ALL
+         SELECT t.*, x.i AS pos, x.x AS value FROM tr_rows t JOIN vexp x ON x.article_id = t.article_id
+         UNION ALL
+         SELECT t.*, 64 + u.slot AS pos, u.weight AS value
+         FROM tr_rows t JOIN ucf u ON u.user_id = t.user_id AND u.channel_id = t.channel_id
+         UNION ALL
+         SELECT t.*, 74 + a.slot AS pos, a.weight AS value FROM tr_rows t JOIN aw a ON a.article_id = t.article_id)
+SELECT user_id, article_id, clicked, channel_id, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM feat
+"""
+
+ORACLE["kv_export_keys"] = _with(UTW_CTES) + f""",
+up AS (SELECT c_custkey AS user_id, (c_custkey % 2) = 1 AS gender,
+              CASE WHEN c_custkey % 10 = 0 THEN NULL
+                   ELSE DATE '1960-01-01' + CAST((c_custkey * 37) % 16000 AS INTEGER) END AS b
+       FROM customer),
+ub AS (SELECT user_id, gender,
+              CAST(coalesce(year(TIMESTAMP '{AS_OF}') - year(b)
+                   - CASE WHEN month(TIMESTAMP '{AS_OF}') < month(b)
+                            OR (month(TIMESTAMP '{AS_OF}') = month(b) AND day(TIMESTAMP '{AS_OF}') < day(b))
+                          THEN 1 ELSE 0 END, 0) AS INTEGER) AS age
+       FROM up),
+kv AS (SELECT 'user:' || user_id AS row_key, 'partial:' || channel_id || ':' || topic AS column_key,
+              printf('%.6f', round(weight, 6)) AS value FROM utw
+       UNION ALL SELECT 'user:' || user_id, 'basic:gender', CASE WHEN gender THEN 'true' ELSE 'false' END FROM ub
+       UNION ALL SELECT 'user:' || user_id, 'basic:birthday', CAST(age AS VARCHAR) FROM ub)
+SELECT row_key, column_key, value, CAST(split_part(row_key, ':', 2) AS BIGINT) AS user_id FROM kv
+"""
