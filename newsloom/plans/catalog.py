@@ -350,3 +350,36 @@ def q_kv_export_keys(spark, sf_dir):
                  F.col("age").cast("string").alias("value"))
     u = p.unionByName(g).unionByName(a)
     return u.withColumn("user_id", F.split_part("row_key", F.lit(":"), F.lit(2)).cast("bigint"))
+
+
+# ------------------------------------------------------------------ streaming
+
+from newsloom.streaming import online as ON  # noqa: E402
+from newsloom.session import scratch_path  # noqa: E402
+
+
+@query("online_recall")
+def q_online_recall(spark, sf_dir):
+    """ST1-ST6: the click stream (events as a file stream) drained by one availableNow run."""
+    store, ckpt = scratch_path(spark, "online-store"), scratch_path(spark, "online-ckpt")
+    ON.seed_history(exposure_history(spark, sf_dir), store)
+    events = S.read_table(spark, sf_dir, "events")
+    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    messages = ON.click_messages(S.user_action_from(stream, S.article_channel(spark, sf_dir)))
+    sim = similar(spark, sf_dir)
+    q = ON.start_online_recall(messages, sim, store, ckpt, available_now=True)
+    q.awaitTermination()
+    return ON.read_recall(spark, store).select("user_id", "channel_id", "article_id").distinct()
+
+
+@query("hot_articles")
+def q_hot_articles(spark, sf_dir):
+    clicks = ON.parse_clicks(ON.click_messages(S.user_action(spark, sf_dir)))
+    return ON.hot_articles(clicks)
+
+
+@query("new_articles")
+def q_new_articles(spark, sf_dir):
+    n = ON.new_articles(S.news_article_basic(spark, sf_dir))
+    return n.withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))

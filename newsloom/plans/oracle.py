@@ -454,3 +454,41 @@ kv AS (SELECT 'user:' || user_id AS row_key, 'partial:' || channel_id || ':' ||
        UNION ALL SELECT 'user:' || user_id, 'basic:birthday', CAST(age AS VARCHAR) FROM ub)
 SELECT row_key, column_key, value, CAST(split_part(row_key, ':', 2) AS BIGINT) AS user_id FROM kv
 """
+
+
+# ------------------------------------------------------------------ streaming
+
+ONLINE_CTES = f"""
+ua AS ({USER_ACTION}),
+fl AS ({FLAT}),
+hist AS (SELECT user_id, channel_id, article_id FROM fl WHERE NOT (shared OR clicked OR collected)),
+oc AS (SELECT TRY_CAST(userId AS BIGINT) AS user_id, TRY_CAST(articleId AS BIGINT) AS article_id,
+              channelId AS channel_id, action
+       FROM ua WHERE action IN ('click', 'collect', 'share'))
+"""
+
+ORACLE["online_recall"] = _with(SIMILAR_CTES, ONLINE_CTES) + """,
+oc2 AS (SELECT * FROM oc WHERE user_id IS NOT NULL AND article_id IS NOT NULL),
+cand AS (SELECT DISTINCT c.user_id, c.channel_id, s.similar_id AS article_id
+         FROM oc2 c JOIN sim s ON s.article_id = c.article_id WHERE s.rank <= 10)
+SELECT user_id, channel_id, article_id FROM cand
+WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = cand.user_id AND h.channel_id = cand.channel_id
+                                         AND h.article_id = cand.article_id)
+"""
+
+ORACLE["hot_articles"] = _with(ONLINE_CTES) + """,
+c AS (SELECT channel_id, article_id, count(*) AS clicks FROM oc
+      WHERE user_id IS NOT NULL AND article_id IS NOT NULL GROUP BY channel_id, article_id)
+SELECT channel_id, article_id, clicks, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY clicks DESC, article_id) AS rank FROM c)
+WHERE rank <= 10
+"""
+
+ORACLE["new_articles"] = f"""
+WITH a AS (SELECT {CHANNEL_EXPR} AS channel_id, doc_id AS article_id,
+                  to_timestamp(epoch(TIMESTAMP '{AS_OF}') - 86400 + (doc_id * 7919) % 86400) AT TIME ZONE 'UTC' AS ut
+           FROM documents)
+SELECT channel_id, article_id, strftime(ut, '%Y-%m-%d %H:%M:%S') AS update_time, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY ut DESC, article_id DESC) AS rank FROM a)
+WHERE rank <= 10
+"""

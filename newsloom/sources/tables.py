@@ -96,20 +96,24 @@ def _action_expr(event_type: Column) -> Column:
 
 
 def user_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The click log with its nested ``param`` struct and ``dt`` partition value.
+    """The click log with its nested ``param`` struct and ``dt`` partition value."""
+    return user_action_from(read_table(spark, sf_dir, "events"), article_channel(spark, sf_dir))
+
+
+def user_action_from(events: DataFrame, channels: DataFrame) -> DataFrame:
+    """T6 from an events frame (batch or streaming) and the article -> channel map.
 
     ``k`` of the event props is the article; an exposure (view) lists the two
     articles ``[k, (k+1) % 100]``; readTime is the text of floor(value*20) ms;
     channelId is the channel of article k.
     """
-    ev = read_table(spark, sf_dir, "events")
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     action = _action_expr(F.col("event_type"))
     article_id_text = F.when(
         F.col("event_type") == "view",
         F.format_string("[%d, %d]", k, (k + 1) % 100),
     ).otherwise(k.cast("string"))
-    base = ev.select(
+    base = events.select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("actionTime"),
         F.floor(F.col("value") * 20).cast("bigint").cast("string").alias("readTime"),
         k.alias("_k"),
@@ -121,7 +125,7 @@ def user_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("param"),
         F.date_format("ts", "yyyy-MM-dd").alias("dt"),
     )
-    ch = article_channel(spark, sf_dir).withColumnRenamed("article_id", "_k")
+    ch = channels.select(F.col("article_id").alias("_k"), "channel_id")
     return (base.join(ch, "_k", "left")
             .select("actionTime", "readTime", F.col("channel_id").alias("channelId"), "param", "dt"))
 
