@@ -152,7 +152,9 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     base = round(1.0 - damping, 12)
     for _ in range(rounds):
         score = write_bucketed(score, ["article_id"], p, "textrank_score")
-        contrib = coef.join(score.drop("channel_id"), ["article_id", "dst"])
+        # one join per stage (each round is materialised): hash the small score side,
+        # stream the coefficient table without sorting it
+        contrib = coef.join(score.drop("channel_id").hint("shuffle_hash"), ["article_id", "dst"])
         score = (contrib.groupBy("article_id", "channel_id", "src")
                  .agg(F.sum(F.col("c") * F.col("s")).alias("acc"))
                  .select("article_id", "channel_id", F.col("src").alias("dst"),
