@@ -4,7 +4,7 @@ keyword weights (M6), topics (J5/A3) and the profile itself (M7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
@@ -95,18 +95,24 @@ def tfidf_top_k(tf: DataFrame, vocab: DataFrame, k: int = TOP_K) -> DataFrame:
 
 # --------------------------------------------------------------------------- TextRank
 
-def textrank_edges(sentences: DataFrame, window: int = TR_WINDOW, text_col: str = "sentence") -> DataFrame:
-    """Undirected co-occurrence edges per article (both directions), weight = count.
+def _kept_tokens(text: Column, hashed: bool) -> Column:
+    """Letter runs in order; a rejected token keeps its position as null. With
+    ``hashed`` each kept token is its 64-bit xxhash (the node id)."""
+    toks = T.words(text, T.WORD_ANY)
+    if hashed:
+        return F.transform(toks, lambda x: F.when(T.keep_token(x), F.xxhash64(x)))
+    return F.transform(toks, lambda x: F.when(T.keep_token(x), x))
+
+
+def textrank_edges(sentences: DataFrame, window: int = TR_WINDOW, text_col: str = "sentence",
+                   hashed: bool = False) -> DataFrame:
+    """Undirected co-occurrence edges per article (both directions), one row per pair.
 
     Positions are all letter runs (a rejected token still takes a position); a pair
     counts when both tokens pass the M1 rule and their distance is 1..window-1. Pairs
-    are built per row from array slices (no self-join), then one shuffle keyed by
-    article gathers each article's graph into one partition.
+    are built per row from array slices (no self-join).
     """
-    toks = T.words(F.col(text_col), T.WORD_ANY)
-    # Rejected tokens keep their position but become null, so each token is tested once.
-    w = sentences.select("article_id", "channel_id",
-                         F.transform(toks, lambda x: F.when(T.keep_token(x), x)).alias("w"))
+    w = sentences.select("article_id", "channel_id", _kept_tokens(F.col(text_col), hashed).alias("w"))
     n = F.size("w")
     zips = [F.arrays_zip(F.slice("w", 1, F.greatest(n - d, F.lit(0))).alias("a"),
                          F.slice("w", d + 1, F.greatest(n - d, F.lit(0))).alias("b"))
@@ -120,9 +126,16 @@ def textrank_edges(sentences: DataFrame, window: int = TR_WINDOW, text_col: str
     return both.select("article_id", "channel_id", "e.src", "e.dst")
 
 
+def textrank_dictionary(sentences: DataFrame, text_col: str = "sentence") -> DataFrame:
+    """(article_id, node, word): the kept words of every article with their hash id."""
+    toks = T.words(F.col(text_col), T.WORD_ANY)
+    d = sentences.select("article_id", F.explode(F.array_distinct(F.filter(toks, T.keep_token))).alias("word"))
+    return d.select("article_id", F.xxhash64("word").alias("node"), "word")
+
+
 def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, rounds: int = TR_ROUNDS,
              damping: float = TR_DAMPING, text_col: str = "sentence",
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, node_ids: str = "hash") -> DataFrame:
     """M5 + W2: (article_id, channel_id, keyword, textrank), top ``k`` per article.
 
     Weighted PageRank on each article's co-occurrence graph, computed for all
@@ -134,12 +147,25 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     checkpoint folder (lineage cut per round, partitioning known to the planner), so
     every round is a partition-local join + aggregate -- no shuffle per round, and
     a lost executor costs at most one round.
+
+    ``node_ids='hash'`` keys the graph by 64-bit word hashes (long joins and
+    aggregates instead of strings); a per-article dictionary is checked first and
+    any collision inside an article switches to word keys, so results are exact.
     """
     spark = sentences.sparkSession
     # Joins on (article_id, word) may reuse the article_id partitioning.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     p = partitions or default_parallelism(spark)
-    raw = textrank_edges(sentences, window, text_col).repartition(p, "article_id")
+    dictionary = None
+    if node_ids == "hash":
+        dictionary = write_bucketed(textrank_dictionary(sentences, text_col).repartition(p, "article_id"),
+                                    ["article_id"], p, "textrank_dict")
+        clash = dictionary.groupBy("article_id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not clash.isEmpty():
+            dictionary, node_ids = None, "word"
+    elif node_ids != "word":
+        raise ValueError(node_ids)
+    raw = textrank_edges(sentences, window, text_col, hashed=node_ids == "hash").repartition(p, "article_id")
     edges = (raw.groupBy("article_id", "channel_id", "src", "dst")
              .agg(F.count(F.lit(1)).cast("double").alias("w")))
     out = edges.groupBy("article_id", "src").agg(F.sum("w").alias("out"))
@@ -161,8 +187,12 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
                          (F.lit(base) + F.lit(damping) * F.col("acc")).alias("s")))
     doc = Window.partitionBy("article_id")
     lo, hi = F.min("s").over(doc), F.max("s").over(doc)
-    scored = score.select("article_id", "channel_id", F.col("dst").alias("keyword"),
+    scored = score.select("article_id", "channel_id", F.col("dst").alias("node"),
                           ((F.col("s") - lo / 10.0) / (hi - lo / 10.0)).alias("textrank"))
+    if dictionary is not None:
+        scored = scored.join(dictionary, ["article_id", "node"]).withColumnRenamed("word", "keyword")
+    else:
+        scored = scored.withColumnRenamed("node", "keyword")
     ranked = top_k(scored, ["article_id"], [F.round("textrank", 9).desc(), F.col("keyword").asc()], k)
     return ranked.select("article_id", "channel_id", "keyword", "textrank")
 
