@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import behavior as BH
 from newsloom.sources import tables as S
+from newsloom.session import default_parallelism, write_bucketed
 from newsloom.sources.tables import AS_OF, EVENT_SPLIT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,28 +83,67 @@ def n_documents(spark: SparkSession, sf_dir: str) -> int:
     return S.read_table(spark, sf_dir, "documents").count()
 
 
+class ArticleFrames:
+    """The article pipeline of one query, each intermediate built once so that a
+    frame used twice (term counts feed both the vocabulary and TF-IDF) is one
+    subtree whose shuffle Spark reuses, not two copies of the tokenizer."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._c: dict[str, DataFrame] = {}
+
+    def _get(self, key, build):
+        if key not in self._c:
+            self._c[key] = build()
+        return self._c[key]
+
+    def sentences(self) -> DataFrame:
+        return self._get("sent", lambda: sentences(self.spark, self.sf_dir))
+
+    def tf(self) -> DataFrame:
+        """Term counts, written once (bucketed by article) and read by both consumers."""
+        return self._get("tf", lambda: write_bucketed(
+            A.term_frequency(A.article_words(self.sentences()), filtered=True),
+            ["article_id"], default_parallelism(self.spark), "term_frequency"))
+
+    def vocab(self) -> DataFrame:
+        return self._get("vocab", lambda: A.vocab_idf(self.tf(), n_documents(self.spark, self.sf_dir)))
+
+    def tfidf(self) -> DataFrame:
+        return self._get("tfidf", lambda: A.tfidf_top_k(self.tf(), self.vocab()))
+
+    def textrank(self) -> DataFrame:
+        return self._get("tr", lambda: A.textrank(self.sentences()))
+
+    def topics(self, mode: str = "global") -> DataFrame:
+        return self._get(f"topics-{mode}", lambda: A.article_topics(self.tfidf(), self.textrank(), mode))
+
+    def weights(self) -> DataFrame:
+        return self._get("weights", lambda: A.keyword_weights(self.textrank(), self.vocab()))
+
+    def profile(self, mode: str = "global") -> DataFrame:
+        return self._get(f"profile-{mode}", lambda: A.article_profile(self.weights(), self.topics(mode)))
+
+
 def filtered_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.term_frequency(A.article_words(sentences(spark, sf_dir)), filtered=True)
+    return ArticleFrames(spark, sf_dir).tf()
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.vocab_idf(filtered_tf(spark, sf_dir), n_documents(spark, sf_dir))
+    return ArticleFrames(spark, sf_dir).vocab()
 
 
 def tfidf_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.tfidf_top_k(filtered_tf(spark, sf_dir), vocabulary(spark, sf_dir))
+    return ArticleFrames(spark, sf_dir).tfidf()
 
 
 def textrank_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.textrank(sentences(spark, sf_dir))
+    return ArticleFrames(spark, sf_dir).textrank()
 
 
 def profile(spark: SparkSession, sf_dir: str, mode: str = "global") -> DataFrame:
     """T12 article_profile: keyword map (TextRank x IDF) + topics."""
-    tr = textrank_keywords(spark, sf_dir)
-    weights = A.keyword_weights(tr, vocabulary(spark, sf_dir))
-    topics = A.article_topics(tfidf_keywords(spark, sf_dir), tr, mode)
-    return A.article_profile(weights, topics)
+    return ArticleFrames(spark, sf_dir).profile(mode)
 
 
 @query("last_hour_articles")
@@ -168,12 +208,11 @@ def q_textrank_top20(spark, sf_dir):
 
 @query("keyword_weights")
 def q_keyword_weights(spark, sf_dir):
-    w = A.keyword_weights(textrank_keywords(spark, sf_dir), vocabulary(spark, sf_dir))
-    return w.withColumn("weight", F.round("weight", 6))
+    return ArticleFrames(spark, sf_dir).weights().withColumn("weight", F.round("weight", 6))
 
 
 def _topics_exploded(spark, sf_dir, mode):
-    t = A.article_topics(tfidf_keywords(spark, sf_dir), textrank_keywords(spark, sf_dir), mode)
+    t = ArticleFrames(spark, sf_dir).topics(mode)
     return t.select("article_id", F.explode("topics").alias("topic"))
 
 
