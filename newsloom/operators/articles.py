@@ -16,15 +16,20 @@ TOP_K = 20            # keywords kept per article (TF-IDF and TextRank)
 TR_WINDOW = 5         # TextRank span: co-occurrence at token distance 1..4
 TR_DAMPING = 0.85
 TR_ROUNDS = 10
+ROUNDS_PER_WRITE = 2  # TextRank rounds per materialised score table (bounds memory and lineage)
 
 
-def merge_article_data(basic: DataFrame, content: DataFrame, channels: DataFrame) -> DataFrame:
+def merge_article_data(basic: DataFrame, content: DataFrame | None, channels: DataFrame) -> DataFrame:
     """J1 (inner on article_id) + J2 (left on channel_id) + F1 sentence.
 
-    The channel dimension has one row per channel; AQE turns the join into a
-    broadcast from the measured size, otherwise it stays a shuffle join.
+    ``content=None`` means ``basic`` already carries the content column (one source
+    table, no join). The channel dimension has one row per channel; AQE turns the
+    join into a broadcast from the measured size, otherwise it stays a shuffle join.
     """
-    j = basic.select("article_id", "channel_id", "title").join(content, "article_id")
+    if content is None:
+        j = basic.select("article_id", "channel_id", "title", "content")
+    else:
+        j = basic.select("article_id", "channel_id", "title").join(content, "article_id")
     j = j.join(channels.select("channel_id", "channel_name"), "channel_id", "left")
     return j.select("article_id", "channel_id", "channel_name", "title", "content",
                     T.sentence(F.col("channel_name"), F.col("title"), F.col("content")).alias("sentence"))
@@ -144,9 +149,9 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
 
     Plan: one shuffle hash-partitions the edges by article_id; the coefficient
     table and each round's scores are written bucketed by article_id to the shared
-    checkpoint folder (lineage cut per round, partitioning known to the planner), so
-    every round is a partition-local join + aggregate -- no shuffle per round, and
-    a lost executor costs at most one round.
+    checkpoint folder every ROUNDS_PER_WRITE rounds (lineage cut, partitioning known
+    to the planner), so every round is a partition-local join + aggregate -- no
+    shuffle per round, and a lost executor costs at most two rounds.
 
     ``node_ids='hash'`` keys the graph by 64-bit word hashes (long joins and
     aggregates instead of strings); a per-article dictionary is checked first and
@@ -176,9 +181,10 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     score = nodes.select("article_id", "channel_id", F.col("src").alias("dst"),
                          (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("article_id"))).alias("s"))
     base = round(1.0 - damping, 12)
-    for _ in range(rounds):
-        score = write_bucketed(score, ["article_id"], p, "textrank_score")
-        # one join per stage (each round is materialised): hash the small score side,
+    for r in range(rounds):
+        if r % ROUNDS_PER_WRITE == 0:
+            score = write_bucketed(score, ["article_id"], p, "textrank_score")
+        # at most ROUNDS_PER_WRITE joins per stage: hash the small score side,
         # stream the coefficient table without sorting it
         contrib = coef.join(score.drop("channel_id").hint("shuffle_hash"), ["article_id", "dst"])
         score = (contrib.groupBy("article_id", "channel_id", "src")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import behavior as BH
 from newsloom.sources import tables as S
-from newsloom.session import default_parallelism, write_bucketed
+from newsloom.session import default_parallelism, ensure_checkpoint_dir, write_bucketed
 from newsloom.sources.tables import AS_OF, EVENT_SPLIT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +73,9 @@ from newsloom.functions import text as TX  # noqa: E402
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T8 article_data for the whole corpus."""
-    return A.merge_article_data(S.news_article_basic(spark, sf_dir), S.news_article_content(spark, sf_dir),
-                                S.news_channel(spark, sf_dir))
+    """T8 article_data for the whole corpus (title and content come from one table,
+    so one scan; ``article_sentence`` runs the general J1 join)."""
+    return A.merge_article_data(S.news_article_with_content(spark, sf_dir), None, S.news_channel(spark, sf_dir))
 
 
 def n_documents(spark: SparkSession, sf_dir: str) -> int:
@@ -178,7 +178,10 @@ def q_drop_delims(spark, sf_dir):
 
 @query("article_sentence")
 def q_article_sentence(spark, sf_dir):
-    return sentences(spark, sf_dir).select("article_id", "channel_id", "channel_name", "title", "sentence")
+    """J1 + J2 + F1 with T1 and T2 as separate tables."""
+    m = A.merge_article_data(S.news_article_basic(spark, sf_dir), S.news_article_content(spark, sf_dir),
+                             S.news_channel(spark, sf_dir))
+    return m.select("article_id", "channel_id", "channel_name", "title", "sentence")
 
 
 @query("tokens")
@@ -357,7 +360,7 @@ def q_article_features(spark, sf_dir):
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = profile(spark, sf_dir)
-    return FT.ctr_training_set(behavior(spark, sf_dir), FT.user_channel_weights(user_partial(spark, sf_dir, prof)),
+    return FT.ctr_training_set(behavior(spark, sf_dir), FT.user_channel_arrays(user_partial(spark, sf_dir, prof)),
                                S.article_vector(spark, sf_dir), FT.article_weights(prof))
 
 
@@ -370,7 +373,9 @@ def q_ctr_training_set(spark, sf_dir):
 
 @query("ctr_score")
 def q_ctr_score(spark, sf_dir):
-    t = training_set(spark, sf_dir)
+    # fit and scoring both read the training set: checkpoint it once (reliable folder)
+    ensure_checkpoint_dir(spark)
+    t = training_set(spark, sf_dir).checkpoint()
     model = FT.fit_ctr(t)
     return FT.ctr_scores(model, t).withColumn("p_click", F.round("p_click", 6))
 

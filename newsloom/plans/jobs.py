@@ -106,7 +106,7 @@ def update_ctr_feature(partial: DataFrame, profile: DataFrame, vectors: DataFram
                        as_of: str) -> dict[str, str]:
     """Feature job: K5 user channel weights (25 x 10 per user), K6 article features."""
     run = _run_id(as_of)
-    K.write_run_partition(FT.user_channel_arrays(FT.user_channel_weights(partial)),
+    K.write_run_partition(FT.user_channel_arrays(partial),
                           f"{out}/ctr_feature_user", "run", run)
     K.write_run_partition(FT.article_features(FT.article_weights(profile), vectors),
                           f"{out}/ctr_feature_article", "run", run)

@@ -32,14 +32,14 @@ def test_user_channel_weights_grid(spark):
     u = {(r.channel_id, r.slot): r.weight for r in w.where(F.col("user_id") == 2 ** 40).collect()}
     assert [u[(18, s)] for s in range(1, 11)] == [float(i) for i in range(10)]   # ten smallest, ascending
     assert all(u[(1, s)] == 0.0 for s in range(1, 11))
-    arrays = FT.user_channel_arrays(w).where("user_id = 7 and channel_id = 3").first().weights
+    arrays = FT.user_channel_arrays(partial).where("user_id = 7 and channel_id = 3").first().weights
     assert arrays == [0.5] + [0.0] * 9
 
 
 def test_training_set_width_and_one_hot(spark):
     beh = spark.createDataFrame([(1, 10, True), (1, 11, False), (2, 10, True)],
                                 "user_id long, article_id long, clicked boolean")
-    uw = FT.user_channel_weights(spark.createDataFrame([(1, 4, "t", 0.3)],
+    uw = FT.user_channel_arrays(spark.createDataFrame([(1, 4, "t", 0.3)],
                                                        "user_id long, channel_id int, topic string, weight double"))
     vec = spark.createDataFrame([(10, 4, [0.1] * 64), (11, 5, [0.2] * 64)],
                                 "article_id long, channel_id int, articleVector array<double>")
