@@ -173,9 +173,10 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     raw = textrank_edges(sentences, window, text_col, hashed=node_ids == "hash").repartition(p, "article_id")
     edges = (raw.groupBy("article_id", "channel_id", "src", "dst")
              .agg(F.count(F.lit(1)).cast("double").alias("w")))
-    out = edges.groupBy("article_id", "src").agg(F.sum("w").alias("out"))
-    coef = (edges.join(out.withColumnRenamed("src", "dst"), ["article_id", "dst"])
-            .select("article_id", "channel_id", "src", "dst", (F.col("w") / F.col("out")).alias("c")))
+    # the graph is symmetric, so out(dst) = sum of w over the edges that share dst:
+    # a partition-local window instead of an aggregate joined back
+    out_dst = F.sum("w").over(Window.partitionBy("article_id", "dst"))
+    coef = edges.select("article_id", "channel_id", "src", "dst", (F.col("w") / out_dst).alias("c"))
     coef = write_bucketed(coef, ["article_id"], p, "textrank_coef")
     nodes = coef.groupBy("article_id", "channel_id", "src").agg(F.count(F.lit(1)).alias("_deg"))
     score = nodes.select("article_id", "channel_id", F.col("src").alias("dst"),
@@ -200,7 +201,9 @@ def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, roun
     else:
         scored = scored.withColumnRenamed("node", "keyword")
     ranked = top_k(scored, ["article_id"], [F.round("textrank", 9).desc(), F.col("keyword").asc()], k)
-    return ranked.select("article_id", "channel_id", "keyword", "textrank")
+    # T11 textrank_keywords_values: written once, read by topics and keyword weights
+    return write_bucketed(ranked.select("article_id", "channel_id", "keyword", "textrank"),
+                          ["article_id"], p, "textrank_keywords")
 
 
 # --------------------------------------------------------------------------- profile

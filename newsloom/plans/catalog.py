@@ -340,9 +340,11 @@ def q_recall_latest(spark, sf_dir):
 # ------------------------------------------------------------------ features and CTR
 
 def user_partial(spark: SparkSession, sf_dir: str, prof: DataFrame | None = None) -> DataFrame:
-    """K4 partial weights (user, channel, topic, weight)."""
+    """K4 partial weights (user, channel, topic, weight), written once (bucketed by
+    user) because the feature queries read it twice."""
     prof = prof if prof is not None else profile(spark, sf_dir)
-    return BH.user_topic_weights(behavior(spark, sf_dir), prof, AS_OF)
+    return write_bucketed(BH.user_topic_weights(behavior(spark, sf_dir), prof, AS_OF), ["user_id"],
+                          default_parallelism(spark), "user_profile_partial")
 
 
 @query("user_channel_features")

@@ -28,8 +28,8 @@ TABLE_KEYS = {
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one input table.
 
-    When the files give fewer splits than the session's shuffle parallelism (one
-    large row group, say), the rows are hash-spread on the table key so that the
+    When the files give fewer splits than there are cores (one large row group,
+    say), the rows are hash-spread on the table key so that the
     per-row work before the first shuffle (regex tokenising, JSON parsing) uses
     every core. Filters and column pruning still reach the scan; on a cluster with
     many input splits nothing is added.
@@ -38,7 +38,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = TABLE_KEYS.get(name)
     if key is None:
         return df
-    target = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         df = df.repartition(target, key)
     return df
