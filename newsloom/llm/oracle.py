@@ -35,3 +35,56 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, floor(target) - floor(floor(target) / source_size) * source_size - before)) ELSE 0 END)::BIGINT AS taken
 FROM p
 """
+
+_BASE32 = " || ".join(
+    f"translate(to_base(CAST('0x' || substr(h, {at}, 10) AS BIGINT), 32, 8), '0123456789ABCDEFGHIJKLMNOPQRSTUV', "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')" for at in (1, 11, 21, 31))
+
+WARC = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, max(page_id) AS first_id FROM p GROUP BY h)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM p JOIN g USING (h)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+rep AS (SELECT doc_id, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+hit AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM rep),
+word AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS p, unnest(w) AS t FROM d),
+kept AS (
+  SELECT doc_id, string_agg(t, ' ' ORDER BY p) AS s, count(*) AS n
+  FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(lower_text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM documents)),
+b AS (
+  SELECT item_id, coalesce(regexp_extract_all(lower_text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM (SELECT item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM benchmark)),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+occ AS (SELECT doc_id, item_id, i, dw.n AS n FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM occ) GROUP BY 1),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, coalesce(CAST(item_id AS VARCHAR), '') AS name FROM occ) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
