@@ -12,9 +12,9 @@ content starts anywhere else too, in another document or in its own. The plan:
 4. The representatives' items are fetched from their documents and dealt out by anchor, which
    splits all suffixes that may match into groups of bounded memory. A *solver* (suffix tree or
    suffix array) decides each group and marks the repeated windows.
-5. Anchors with more than ``anchor_limit`` different contexts (a frequent passage amid different
-   text) are not held by one task: their windows are compared as wholes, by a 128-bit hash that is
-   aggregated before it is shuffled.
+5. Anchors whose different contexts have more than ``anchor_limit`` items (a frequent passage amid
+   different text; by default what fills half a shard) are not held by one task: their windows
+   are compared as wholes, by a 128-bit hash that is aggregated before it is shuffled.
 6. The marks go back to all occurrences and are gathered per document as spans of items.
 
 Nothing is sampled or capped, no group has to fit one task, and only sizes reach the driver.
@@ -37,8 +37,8 @@ from newsloom.llm.common import ROW, materialise, release, with_row_id
 
 #: Items put together for one pass of numpy; longer documents are cut into overlapping pieces.
 PIECE_ITEMS = {"byte": 1 << 20, "word": 1 << 18}
-ANCHOR_LIMIT = 1024
 SHARD_BYTES = 2 << 20
+ANCHOR_LIMIT = {"byte": SHARD_BYTES // 2, "word": SHARD_BYTES // 16}
 
 #: (contexts, weights, numbers of windows, anchor hashes) -> one mark per window, in order.
 Solver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -235,7 +235,7 @@ def solve_wide(contexts: DataFrame, unit: str, width: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, solver: Solver, unit: str, width: int, gram: int, text_col: str = "text",
-                   anchor_limit: int = ANCHOR_LIMIT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                   anchor_limit: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``_row``, ``spans``: for every document with a repeated window, the item ranges [first, end)
     that its repeated windows cover (array of structs; they may overlap)."""
     spark = docs.sparkSession
@@ -246,7 +246,9 @@ def repeated_spans(docs: DataFrame, solver: Solver, unit: str, width: int, gram:
     distinct = rows.groupBy("anchor", "context").agg(
         F.count("*").alias("weight"), F.min(F.struct(ROW, "first", "windows")).alias("at"))
     distinct = materialise(distinct.select("anchor", "context", "weight", "at.*"), "repeat-distinct")
-    wide = distinct.groupBy("anchor").count().filter(F.col("count") > anchor_limit)
+    limit = ANCHOR_LIMIT[unit] if anchor_limit is None else anchor_limit
+    items = distinct.groupBy("anchor").agg(F.sum(F.col("windows") + (width - 1)).alias("items"), F.count("*").alias("n"))
+    wide = items.filter((F.col("items") > limit) & (F.col("n") > 1))
     wide = materialise(wide.select("anchor", F.lit(True).alias("wide")), "repeat-wide-anchors")
     wanted = distinct.join(wide, "anchor", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     contexts = fetch_contexts(docs, text_col, wanted, unit, width)

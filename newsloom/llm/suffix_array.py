@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import ROW, with_row_id
-from newsloom.llm.repeats import ANCHOR_LIMIT, SHARD_BYTES, covered, repeated_spans
+from newsloom.llm.repeats import SHARD_BYTES, covered, repeated_spans
 
 WIDTH, GRAM = 200, 32
 #: Bytes packed into one sort key (9 bits each: 0 is the end of a context) and their bits.
@@ -195,7 +195,7 @@ def array_marks(contexts: list[bytes], weights: np.ndarray, windows: np.ndarray,
 
 
 def repeated_strings(docs: DataFrame, text_col: str = "text", width: int = WIDTH, gram: int = GRAM,
-                     anchor_limit: int = ANCHOR_LIMIT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                     anchor_limit: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``_row``, ``spans``: byte ranges covered by strings of ``width`` bytes that start twice."""
     def solver(contexts, weights, windows, anchor):
         return array_marks(contexts, weights, windows, anchor, width, shard_bytes)

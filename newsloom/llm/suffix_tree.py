@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
 from newsloom.llm.common import ROW, with_row_id
-from newsloom.llm.repeats import ANCHOR_LIMIT, SHARD_BYTES, Items, covered, repeated_spans
+from newsloom.llm.repeats import SHARD_BYTES, Items, covered, repeated_spans
 
 WINDOW_WORDS, GRAM_WORDS = 35, 8
 
@@ -83,7 +83,7 @@ def tree_marks(contexts: list[bytes], weights: np.ndarray, windows: np.ndarray,
 
 
 def repeated_passages(docs: DataFrame, text_col: str = "text", window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
-                      anchor_limit: int = ANCHOR_LIMIT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                      anchor_limit: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``_row``, ``spans``: word ranges covered by passages of ``window`` words that occur twice."""
     def solver(contexts, weights, windows, anchor):
         return tree_marks(contexts, weights, windows, anchor, window)
