@@ -4,19 +4,25 @@ keyword weights (M6), topics (J5/A3) and the profile itself (M7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators.topk import top_k
-from newsloom.session import default_parallelism, write_bucketed
 
-VOCAB_SIZE = 2000     # fixed value: CountVectorizer vocabSize of the reference
+# Fixed value: CountVectorizer vocabSize of the reference. Terms past this rank have no IDF and
+# are no keywords by definition; callers pass another size explicitly (``vocab_size``).
+VOCAB_SIZE = 2000
+#: Up to this many terms the vocabulary is broadcast; a larger one is joined like any table.
+BROADCAST_VOCAB = 100_000
 TOP_K = 20            # keywords kept per article (TF-IDF and TextRank)
 TR_WINDOW = 5         # TextRank span: co-occurrence at token distance 1..4
 TR_DAMPING = 0.85
 TR_ROUNDS = 10
-ROUNDS_PER_WRITE = 2  # TextRank rounds per materialised score table (bounds memory and lineage)
 
 
 def merge_article_data(basic: DataFrame, content: DataFrame | None, channels: DataFrame) -> DataFrame:
@@ -85,13 +91,15 @@ def vocab_idf(tf: DataFrame, n_docs: int, vocab_size: int = VOCAB_SIZE) -> DataF
     )
 
 
-def tfidf_top_k(tf: DataFrame, vocab: DataFrame, k: int = TOP_K) -> DataFrame:
-    """M2-M4 + W1 + J3: tf x idf over vocabulary terms, top ``k`` per article by
-    tfidf desc then index asc, tfidf rounded to 4 places.
+def _vocabulary_side(vocab: DataFrame, vocab_size: int) -> DataFrame:
+    """The vocabulary as a join side: broadcast while its bound (``vocab_size`` rows) is small."""
+    return F.broadcast(vocab) if vocab_size <= BROADCAST_VOCAB else vocab
 
-    The vocabulary is bounded by ``vocab_size`` rows, so it is broadcast.
-    """
-    j = tf.join(F.broadcast(vocab.withColumnRenamed("keyword", "token")), "token")
+
+def tfidf_top_k(tf: DataFrame, vocab: DataFrame, k: int = TOP_K, vocab_size: int = VOCAB_SIZE) -> DataFrame:
+    """M2-M4 + W1 + J3: tf x idf over vocabulary terms, top ``k`` per article by
+    tfidf desc then index asc, tfidf rounded to 4 places."""
+    j = tf.join(_vocabulary_side(vocab.withColumnRenamed("keyword", "token"), vocab_size), "token")
     j = j.select("article_id", "channel_id", F.col("token").alias("keyword"), "index",
                  (F.col("tf") * F.col("idf")).alias("tfidf"))
     ranked = top_k(j, ["article_id"], [F.round("tfidf", 9).desc(), F.col("index").asc()], k)
@@ -100,117 +108,71 @@ def tfidf_top_k(tf: DataFrame, vocab: DataFrame, k: int = TOP_K) -> DataFrame:
 
 # --------------------------------------------------------------------------- TextRank
 
-def _kept_tokens(text: Column, hashed: bool) -> Column:
-    """Letter runs in order; a rejected token keeps its position as null. With
-    ``hashed`` each kept token is its 64-bit xxhash (the node id)."""
-    toks = T.words(text, T.WORD_ANY)
-    if hashed:
-        return F.transform(toks, lambda x: F.when(T.keep_token(x), F.xxhash64(x)))
-    return F.transform(toks, lambda x: F.when(T.keep_token(x), x))
-
+def rank_words(words: list[str | None], k: int = TOP_K, window: int = TR_WINDOW, rounds: int = TR_ROUNDS,
+               damping: float = TR_DAMPING) -> list[tuple[str, float]]:
+    """Weighted PageRank on one article's co-occurrence graph; the top ``k`` (word, score).
 
-def textrank_edges(sentences: DataFrame, window: int = TR_WINDOW, text_col: str = "sentence",
-                   hashed: bool = False) -> DataFrame:
-    """Undirected co-occurrence edges per article (both directions), one row per pair.
-
-    Positions are all letter runs (a rejected token still takes a position); a pair
-    counts when both tokens pass the M1 rule and their distance is 1..window-1. Pairs
-    are built per row from array slices (no self-join).
+    A null is a rejected token that keeps its position. Two kept tokens at distance
+    1..window-1 give an edge both ways: s(w) = (1-d) + d * sum_v c(w,v) / out(v) * s(v), start
+    1/n, synchronous rounds, then scaled to (s - min/10) / (max - min/10). Ties by word.
     """
-    w = sentences.select("article_id", "channel_id", _kept_tokens(F.col(text_col), hashed).alias("w"))
-    n = F.size("w")
-    zips = [F.arrays_zip(F.slice("w", 1, F.greatest(n - d, F.lit(0))).alias("a"),
-                         F.slice("w", d + 1, F.greatest(n - d, F.lit(0))).alias("b"))
-            for d in range(1, window)]
-    pairs = w.select("article_id", "channel_id", F.explode(F.flatten(F.array(*zips))).alias("p"))
-    pairs = pairs.where(F.col("p.a").isNotNull() & F.col("p.b").isNotNull())
-    both = pairs.select("article_id", "channel_id",
-                        F.explode(F.array(F.struct(F.col("p.a").alias("src"), F.col("p.b").alias("dst")),
-                                          F.struct(F.col("p.b").alias("src"), F.col("p.a").alias("dst"))))
-                        .alias("e"))
-    return both.select("article_id", "channel_id", "e.src", "e.dst")
-
-
-def textrank_dictionary(sentences: DataFrame, text_col: str = "sentence") -> DataFrame:
-    """(article_id, node, word): the kept words of every article with their hash id."""
-    toks = T.words(F.col(text_col), T.WORD_ANY)
-    d = sentences.select("article_id", F.explode(F.array_distinct(F.filter(toks, T.keep_token))).alias("word"))
-    return d.select("article_id", F.xxhash64("word").alias("node"), "word")
+    number: dict[str, int] = {}
+    seq = np.array([-1 if w is None else number.setdefault(w, len(number)) for w in words], dtype=np.int64)
+    pairs = [(seq[:-d], seq[d:]) for d in range(1, window)]
+    left = np.concatenate([a[(a >= 0) & (b >= 0)] for a, b in pairs])
+    right = np.concatenate([b[(a >= 0) & (b >= 0)] for a, b in pairs])
+    if not len(left):
+        return []
+    n = len(number)
+    edge, count = np.unique(np.concatenate((left * n + right, right * n + left)), return_counts=True)
+    src, dst = edge // n, edge % n
+    out = np.bincount(dst, weights=count, minlength=n)  # the graph is symmetric
+    share = count / out[dst]
+    nodes = np.unique(src)
+    score = np.zeros(n)
+    score[nodes] = 1.0 / len(nodes)
+    base = round(1.0 - damping, 12)
+    for _ in range(rounds):
+        score = base + damping * np.bincount(src, weights=share * score[dst], minlength=n)
+    lo, hi = score[nodes].min(), score[nodes].max()
+    names = list(number)
+    scored = [(names[i], float((score[i] - lo / 10.0) / (hi - lo / 10.0))) for i in nodes.tolist()]
+    return sorted(scored, key=lambda x: (-round(x[1], 9), x[0]))[:k]
 
 
 def textrank(sentences: DataFrame, k: int = TOP_K, window: int = TR_WINDOW, rounds: int = TR_ROUNDS,
-             damping: float = TR_DAMPING, text_col: str = "sentence",
-             partitions: int | None = None, node_ids: str = "hash") -> DataFrame:
+             damping: float = TR_DAMPING, text_col: str = "sentence") -> DataFrame:
     """M5 + W2: (article_id, channel_id, keyword, textrank), top ``k`` per article.
 
-    Weighted PageRank on each article's co-occurrence graph, computed for all
-    articles at once: s(w) = (1-d) + d * sum_v c(w,v) / out(v) * s(v), start 1/n,
-    ``rounds`` synchronous rounds, then scaled to (s - min/10) / (max - min/10).
-
-    Plan: one shuffle hash-partitions the edges by article_id; the coefficient
-    table and each round's scores are written bucketed by article_id to the shared
-    checkpoint folder every ROUNDS_PER_WRITE rounds (lineage cut, partitioning known
-    to the planner), so every round is a partition-local join + aggregate -- no
-    shuffle per round, and a lost executor costs at most two rounds.
-
-    ``node_ids='hash'`` keys the graph by 64-bit word hashes (long joins and
-    aggregates instead of strings); a per-article dictionary is checked first and
-    any collision inside an article switches to word keys, so results are exact.
+    A graph never leaves its article, so each row is ranked where it is read: tokens by
+    built-in expressions, the rounds on integer-indexed arrays in Arrow batches. There is no
+    shuffle and nothing is written.
     """
-    spark = sentences.sparkSession
-    # Joins on (article_id, word) may reuse the article_id partitioning.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    p = partitions or default_parallelism(spark)
-    dictionary = None
-    if node_ids == "hash":
-        dictionary = write_bucketed(textrank_dictionary(sentences, text_col).repartition(p, "article_id"),
-                                    ["article_id"], p, "textrank_dict")
-        clash = dictionary.groupBy("article_id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if not clash.isEmpty():
-            dictionary, node_ids = None, "word"
-    elif node_ids != "word":
-        raise ValueError(node_ids)
-    raw = textrank_edges(sentences, window, text_col, hashed=node_ids == "hash").repartition(p, "article_id")
-    edges = (raw.groupBy("article_id", "channel_id", "src", "dst")
-             .agg(F.count(F.lit(1)).cast("double").alias("w")))
-    # the graph is symmetric, so out(dst) = sum of w over the edges that share dst:
-    # a partition-local window instead of an aggregate joined back
-    out_dst = F.sum("w").over(Window.partitionBy("article_id", "dst"))
-    coef = edges.select("article_id", "channel_id", "src", "dst", (F.col("w") / out_dst).alias("c"))
-    coef = write_bucketed(coef, ["article_id"], p, "textrank_coef")
-    nodes = coef.groupBy("article_id", "channel_id", "src").agg(F.count(F.lit(1)).alias("_deg"))
-    score = nodes.select("article_id", "channel_id", F.col("src").alias("dst"),
-                         (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("article_id"))).alias("s"))
-    base = round(1.0 - damping, 12)
-    for r in range(rounds):
-        if r % ROUNDS_PER_WRITE == 0:
-            score = write_bucketed(score, ["article_id"], p, "textrank_score")
-        # at most ROUNDS_PER_WRITE joins per stage: hash the small score side,
-        # stream the coefficient table without sorting it
-        contrib = coef.join(score.drop("channel_id").hint("shuffle_hash"), ["article_id", "dst"])
-        score = (contrib.groupBy("article_id", "channel_id", "src")
-                 .agg(F.sum(F.col("c") * F.col("s")).alias("acc"))
-                 .select("article_id", "channel_id", F.col("src").alias("dst"),
-                         (F.lit(base) + F.lit(damping) * F.col("acc")).alias("s")))
-    doc = Window.partitionBy("article_id")
-    lo, hi = F.min("s").over(doc), F.max("s").over(doc)
-    scored = score.select("article_id", "channel_id", F.col("dst").alias("node"),
-                          ((F.col("s") - lo / 10.0) / (hi - lo / 10.0)).alias("textrank"))
-    if dictionary is not None:
-        scored = scored.join(dictionary, ["article_id", "node"]).withColumnRenamed("word", "keyword")
-    else:
-        scored = scored.withColumnRenamed("node", "keyword")
-    ranked = top_k(scored, ["article_id"], [F.round("textrank", 9).desc(), F.col("keyword").asc()], k)
-    # T11 textrank_keywords_values: written once, read by topics and keyword weights
-    return write_bucketed(ranked.select("article_id", "channel_id", "keyword", "textrank"),
-                          ["article_id"], p, "textrank_keywords")
+    tokens = F.transform(T.words(F.col(text_col), T.WORD_ANY), lambda x: F.when(T.keep_token(x), x))
+    rows = sentences.select("article_id", "channel_id", tokens.alias("words"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [rank_words(w or [], k, window, rounds, damping) for w in part.column("words").to_pylist()]
+                owner = pa.array([i for i, ranked in enumerate(found) for _ in ranked], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("article_id").take(owner), part.column("channel_id").take(owner),
+                     pa.array([w for ranked in found for w, _ in ranked], pa.string()),
+                     pa.array([s for ranked in found for _, s in ranked], pa.float64())],
+                    names=["article_id", "channel_id", "keyword", "textrank"])
+
+    types = {c: rows.schema[c].dataType.simpleString() for c in ("article_id", "channel_id")}
+    return rows.mapInArrow(run, f"article_id {types['article_id']}, channel_id {types['channel_id']}, "
+                                "keyword string, textrank double")
 
 
 # --------------------------------------------------------------------------- profile
 
-def keyword_weights(textrank_df: DataFrame, vocab: DataFrame) -> DataFrame:
+def keyword_weights(textrank_df: DataFrame, vocab: DataFrame, vocab_size: int = VOCAB_SIZE) -> DataFrame:
     """M6 = J4 (inner on keyword, Q3) + F20: weight = textrank x idf."""
-    j = textrank_df.join(F.broadcast(vocab.select("keyword", "idf")), "keyword")
+    j = textrank_df.join(_vocabulary_side(vocab.select("keyword", "idf"), vocab_size), "keyword")
     return j.select("article_id", "channel_id", "keyword", (F.col("textrank") * F.col("idf")).alias("weight"))
 
 

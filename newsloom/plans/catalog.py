@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import behavior as BH
 from newsloom.sources import tables as S
-from newsloom.session import default_parallelism, ensure_checkpoint_dir, write_bucketed
+from newsloom.session import ensure_checkpoint_dir, scratch_path, write_once
 from newsloom.sources.tables import AS_OF, EVENT_SPLIT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,9 @@ def flat_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 user_article_basic: the old table (log before the split) merged with the delta."""
-    flat = flat_actions(spark, sf_dir)
-    old = BH.merge_behavior(flat.where(F.col("action_time") < EVENT_SPLIT))
-    delta = flat.where(F.col("action_time") >= EVENT_SPLIT)
-    return BH.merge_behavior(old, delta)
+    old = BH.flatten_actions(S.user_action(spark, sf_dir, before=EVENT_SPLIT))
+    delta = BH.flatten_actions(S.user_action(spark, sf_dir, since=EVENT_SPLIT))
+    return BH.merge_behavior(BH.merge_behavior(old), delta)
 
 
 # ------------------------------------------------------------------ user side
@@ -80,7 +79,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def n_documents(spark: SparkSession, sf_dir: str) -> int:
     """m of the IDF formula (a parquet footer count, no data scan)."""
-    return S.read_table(spark, sf_dir, "documents").count()
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").count()
 
 
 class ArticleFrames:
@@ -88,8 +87,8 @@ class ArticleFrames:
     frame used twice (term counts feed both the vocabulary and TF-IDF) is one
     subtree whose shuffle Spark reuses, not two copies of the tokenizer."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, vocab_size: int = A.VOCAB_SIZE):
+        self.spark, self.sf_dir, self.vocab_size = spark, sf_dir, vocab_size
         self._c: dict[str, DataFrame] = {}
 
     def _get(self, key, build):
@@ -101,25 +100,25 @@ class ArticleFrames:
         return self._get("sent", lambda: sentences(self.spark, self.sf_dir))
 
     def tf(self) -> DataFrame:
-        """Term counts, written once (bucketed by article) and read by both consumers."""
-        return self._get("tf", lambda: write_bucketed(
-            A.term_frequency(A.article_words(self.sentences()), filtered=True),
-            ["article_id"], default_parallelism(self.spark), "term_frequency"))
+        """Term counts, written once and read by both consumers."""
+        return self._get("tf", lambda: write_once(
+            A.term_frequency(A.article_words(self.sentences()), filtered=True), "term-frequency"))
 
     def vocab(self) -> DataFrame:
-        return self._get("vocab", lambda: A.vocab_idf(self.tf(), n_documents(self.spark, self.sf_dir)))
+        return self._get("vocab", lambda: A.vocab_idf(self.tf(), n_documents(self.spark, self.sf_dir), self.vocab_size))
 
     def tfidf(self) -> DataFrame:
-        return self._get("tfidf", lambda: A.tfidf_top_k(self.tf(), self.vocab()))
+        return self._get("tfidf", lambda: A.tfidf_top_k(self.tf(), self.vocab(), vocab_size=self.vocab_size))
 
     def textrank(self) -> DataFrame:
-        return self._get("tr", lambda: A.textrank(self.sentences()))
+        """T11, written once: topics and keyword weights both read it."""
+        return self._get("tr", lambda: write_once(A.textrank(self.sentences()), "textrank-keywords"))
 
     def topics(self, mode: str = "global") -> DataFrame:
         return self._get(f"topics-{mode}", lambda: A.article_topics(self.tfidf(), self.textrank(), mode))
 
     def weights(self) -> DataFrame:
-        return self._get("weights", lambda: A.keyword_weights(self.textrank(), self.vocab()))
+        return self._get("weights", lambda: A.keyword_weights(self.textrank(), self.vocab(), self.vocab_size))
 
     def profile(self, mode: str = "global") -> DataFrame:
         return self._get(f"profile-{mode}", lambda: A.article_profile(self.weights(), self.topics(mode)))
@@ -138,7 +137,7 @@ def tfidf_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def textrank_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ArticleFrames(spark, sf_dir).textrank()
+    return A.textrank(sentences(spark, sf_dir))
 
 
 def profile(spark: SparkSession, sf_dir: str, mode: str = "global") -> DataFrame:
@@ -250,7 +249,6 @@ def q_user_topic_weight(spark, sf_dir):
 
 from newsloom.operators import similarity as SIM  # noqa: E402
 from newsloom.operators import vectors as VEC  # noqa: E402
-from newsloom.session import default_parallelism  # noqa: E402
 
 EMBED_DIM = 64
 
@@ -266,6 +264,18 @@ def q_similar_top10(spark, sf_dir):
     return s.select("article_id", "channel_id", "similar_id", F.round("distance", 6).alias("distance"), "rank")
 
 
+@query("similar_exact_top10")
+def q_similar_exact_top10(spark, sf_dir):
+    """The true lists of the query set (ids divisible by 50) against all articles."""
+    s = SIM.exact_top_k(S.article_vector(spark, sf_dir), query_step=SIM.QUERY_STEP)
+    return s.select("article_id", "channel_id", "similar_id", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query("similar_lsh_recall")
+def q_similar_lsh_recall(spark, sf_dir):
+    return SIM.recall_against_exact(S.article_vector(spark, sf_dir), similar(spark, sf_dir))
+
+
 @query("channel_centroid")
 def q_channel_centroid(spark, sf_dir):
     m = VEC.mean_vector(S.article_vector(spark, sf_dir), ["channel_id"], "articleVector", "centroid")
@@ -277,14 +287,34 @@ def q_channel_centroid(spark, sf_dir):
 def q_word2vec_article_vector(spark, sf_dir):
     words = A.article_words(sentences(spark, sf_dir)).select(
         "article_id", F.filter("words", lambda t: TX.keep_token(t)).alias("words"))
-    model = VEC.train_word2vec(words, seed=SIM.SEED, num_partitions=default_parallelism(spark))
+    model = VEC.train_word2vec(words, seed=SIM.SEED)
     return VEC.article_vectors(profile(spark, sf_dir), VEC.word_vectors(model))
 
 
+@query("word2vec_mean_check")
+def q_word2vec_mean_check(spark, sf_dir):
+    """M10 checked: per article the vector's size, and whether every component is the mean over the
+    article's keywords of weight x word vector, recomputed component by component with plain SQL."""
+    frames = ArticleFrames(spark, sf_dir)
+    words = A.article_words(frames.sentences()).select(
+        "article_id", F.filter("words", lambda t: TX.keep_token(t)).alias("words"))
+    vectors = write_once(VEC.word_vectors(VEC.train_word2vec(words, seed=SIM.SEED)), "word-vectors")
+    prof = write_once(frames.profile(), "article-profile")
+    found = VEC.article_vectors(prof, vectors).select("article_id", F.posexplode("articleVector").alias("pos", "value"))
+    terms = prof.select("article_id", F.explode("keywords").alias("word", "weight")).join(vectors, "word")
+    plain = (terms.select("article_id", "weight", F.posexplode("vector").alias("pos", "x"))
+             .groupBy("article_id", "pos").agg(F.avg(F.col("weight") * F.col("x")).alias("mean")))
+    return found.join(plain, ["article_id", "pos"], "full").groupBy("article_id").agg(
+        F.count("*").cast("int").alias("dim"),
+        F.min(F.coalesce(F.abs(F.col("value") - F.col("mean")) < 1e-9, F.lit(False))).alias("is_mean"))
+
+
 # ------------------------------------------------------------------ recall
 
 from newsloom.operators import recall as RC  # noqa: E402
 from newsloom.operators import features as FT  # noqa: E402
+from newsloom.functions import arrays as AR  # noqa: E402
+from newsloom.sources import sinks as K  # noqa: E402
 
 
 def exposure_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,6 +343,23 @@ def q_als_recall(spark, sf_dir):
     return rows.select("user_id", "channel_id", "article_id", F.round("score", 6).alias("score"), "pos")
 
 
+@query("als_list_sizes")
+def q_als_list_sizes(spark, sf_dir):
+    """M14 / W4 checked: before the history filter a rated user has min(N, items) items, none twice."""
+    model, uidx, aidx = RC.fit_als(S.purchase_clicks(spark, sf_dir), seed=SIM.SEED)
+    rows = RC.als_recall(model, uidx, aidx, S.item_channel(spark, sf_dir))
+    return rows.groupBy("user_id").agg(F.count("*").alias("n_items"), F.countDistinct("article_id").alias("n_distinct"))
+
+
+@query("recall_lists")
+def q_recall_lists(spark, sf_dir):
+    """The clicked articles of every (user, channel) as an ordered list."""
+    clicks = clicked_articles(spark, sf_dir).withColumn("pos", F.col("article_id"))
+    lists = RC.recall_lists(clicks)
+    return lists.select("user_id", "channel_id", F.concat_ws(
+        ",", F.transform("article_list", lambda x: x.cast("string"))).alias("article_list"))
+
+
 @query("content_recall")
 def q_content_recall(spark, sf_dir):
     cand = RC.content_candidates(clicked_articles(spark, sf_dir), similar(spark, sf_dir))
@@ -340,11 +387,10 @@ def q_recall_latest(spark, sf_dir):
 # ------------------------------------------------------------------ features and CTR
 
 def user_partial(spark: SparkSession, sf_dir: str, prof: DataFrame | None = None) -> DataFrame:
-    """K4 partial weights (user, channel, topic, weight), written once (bucketed by
-    user) because the feature queries read it twice."""
+    """K4 partial weights (user, channel, topic, weight), written once because the feature
+    queries read it twice."""
     prof = prof if prof is not None else profile(spark, sf_dir)
-    return write_bucketed(BH.user_topic_weights(behavior(spark, sf_dir), prof, AS_OF), ["user_id"],
-                          default_parallelism(spark), "user_profile_partial")
+    return write_once(BH.user_topic_weights(behavior(spark, sf_dir), prof, AS_OF), "user-profile-partial")
 
 
 @query("user_channel_features")
@@ -361,7 +407,7 @@ def q_article_features(spark, sf_dir):
 
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prof = profile(spark, sf_dir)
+    prof = write_once(profile(spark, sf_dir), "article-profile")   # T12, read twice
     return FT.ctr_training_set(behavior(spark, sf_dir), FT.user_channel_arrays(user_partial(spark, sf_dir, prof)),
                                S.article_vector(spark, sf_dir), FT.article_weights(prof))
 
@@ -382,6 +428,56 @@ def q_ctr_score(spark, sf_dir):
     return FT.ctr_scores(model, t).withColumn("p_click", F.round("p_click", 6))
 
 
+@query("ctr_score_rows")
+def q_ctr_score_rows(spark, sf_dir):
+    """M22 / P13 checked: the scored rows and labels are the training rows, probabilities in [0, 1]."""
+    return q_ctr_score(spark, sf_dir).select("user_id", "article_id", "clicked",
+                                             F.col("p_click").between(0.0, 1.0).alias("in_range"))
+
+
+@query("map_profile_prefix")
+def q_map_profile_prefix(spark, sf_dir):
+    """The T14 map ('channel:topic' -> weight) of every user, read by channel prefix."""
+    entries = user_partial(spark, sf_dir).select(
+        "user_id", F.struct(F.format_string("%d:%s", "channel_id", "topic").alias("k"), "weight").alias("e"))
+    maps = entries.groupBy("user_id").agg(F.map_from_entries(F.collect_list("e")).alias("article_partial"))
+    by_channel = maps.select("user_id", "article_partial",
+                             F.explode(F.sequence(F.lit(1), F.lit(FT.N_CHANNELS))).alias("channel_id"))
+    values = AR.map_values_with_prefix(F.col("article_partial"), F.col("channel_id").cast("string"))
+    return by_channel.select("user_id", "channel_id", F.size(values).cast("long").alias("n_topics"),
+                             F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+@query("log_partition_day")
+def q_log_partition_day(spark, sf_dir):
+    """The log written by day, one day read back through the gate."""
+    path = scratch_path(spark, "user-action-log")
+    S.user_action(spark, sf_dir).write.partitionBy("dt").parquet(path)
+    day = I.log_partition(spark, path, "2024-01-15")
+    if day is None:
+        raise ValueError("the log has no rows of that day")
+    return day.select("actionTime", "channelId", "param.userId", "param.action", F.col("dt").cast("string").alias("dt"))
+
+
+@query("log_range_counts")
+def q_log_range_counts(spark, sf_dir):
+    """Rows per day from a date on."""
+    path = scratch_path(spark, "user-action-log")
+    S.user_action(spark, sf_dir).write.partitionBy("dt").parquet(path)
+    return I.log_range(spark, path, "2024-01-20").groupBy(F.col("dt").cast("string").alias("dt")).agg(
+        F.count("*").alias("n"))
+
+
+@query("sink_round_trip")
+def q_sink_round_trip(spark, sf_dir):
+    """K-S1 / K-S2 / K-S5: written twice as a run and as a table version, read back."""
+    path, basic = scratch_path(spark, "sink"), BH.user_basic(S.user_profile(spark, sf_dir), AS_OF)
+    for _ in range(2):
+        K.write_run_partition(basic, f"{path}/basic", "run", "r1")
+    merged = K.replace_table(K.read_partition(spark, f"{path}/basic", "run", "r1").drop("run"), f"{path}/merged", "v1")
+    return merged.select("user_id", "gender", "age")
+
+
 @query("kv_export_keys")
 def q_kv_export_keys(spark, sf_dir):
     """Profile rows in the key-value layout, and the id parsed back."""
@@ -401,22 +497,27 @@ def q_kv_export_keys(spark, sf_dir):
 # ------------------------------------------------------------------ streaming
 
 from newsloom.streaming import online as ON  # noqa: E402
-from newsloom.session import scratch_path  # noqa: E402
+
+ONLINE_FILES = 4   # the events of days 1-8, 9-16, 17-24 and 25-31 arrive as one file each
 
 
 @query("online_recall")
 def q_online_recall(spark, sf_dir):
-    """ST1-ST6: the click stream (events as a file stream) drained by one availableNow run."""
-    store, ckpt = scratch_path(spark, "online-store"), scratch_path(spark, "online-ckpt")
+    """ST1-ST6: the click stream, four files of events drained as four ordered micro-batches; each
+    row with the batch that recalled it first."""
+    store, ckpt, source = (scratch_path(spark, f"online-{x}") for x in ("store", "ckpt", "events"))
     ON.seed_history(exposure_history(spark, sf_dir), store)
-    events = S.read_table(spark, sf_dir, "events")
-    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(ONLINE_FILES - 1))
+    for number in range(ONLINE_FILES):   # written one after the other: the file source goes by time
+        events.where(part == number).coalesce(1).write.parquet(f"{source}/file-{number}")
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(source))
     messages = ON.click_messages(S.user_action_from(stream, S.article_channel(spark, sf_dir)))
-    sim = similar(spark, sf_dir)
+    sim = write_once(similar(spark, sf_dir), "article-similar")   # K1, read by every batch
     q = ON.start_online_recall(messages, sim, store, ckpt, available_now=True)
     q.awaitTermination()
-    return ON.read_recall(spark, store).select("user_id", "channel_id", "article_id").distinct()
+    return ON.read_recall(spark, store).select("user_id", "channel_id", "article_id", "batch")
 
 
 @query("hot_articles")

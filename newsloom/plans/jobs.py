@@ -17,66 +17,109 @@ from newsloom.operators import behavior as BH
 from newsloom.operators import features as FT
 from newsloom.operators import recall as RC
 from newsloom.operators import similarity as SIM
+from newsloom.operators import vectors as VEC
+from newsloom.operators.topk import latest_by_key
+from newsloom.functions import text as T
+from newsloom.session import write_once
+from newsloom.sources import ingest as I
 from newsloom.sources import sinks as K
 from newsloom.sources import tables as S
 
 
+APPROVED = 2     # fixed value: status of a reviewed article
+
+
 @dataclass
 class Inputs:
-    """Input tables of the jobs (T1-T7, T13 and the rating source)."""
+    """Input tables of the jobs (T1-T7 and the rating source)."""
     article_basic: DataFrame
     article_content: DataFrame
     channels: DataFrame
     user_action: DataFrame
     user_profile: DataFrame
-    article_vector: DataFrame
     ratings: DataFrame
     item_channel: DataFrame
     n_documents: int
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
-        return cls(S.news_article_basic(spark, sf_dir), S.news_article_content(spark, sf_dir),
-                   S.news_channel(spark, sf_dir), S.user_action(spark, sf_dir), S.user_profile(spark, sf_dir),
-                   S.article_vector(spark, sf_dir), S.purchase_clicks(spark, sf_dir), S.item_channel(spark, sf_dir),
-                   S.read_table(spark, sf_dir, "documents").count())
+        basic = S.news_article_review(spark, sf_dir)
+        return cls(basic, S.news_article_content(spark, sf_dir), S.news_channel(spark, sf_dir),
+                   S.user_action(spark, sf_dir), S.user_profile(spark, sf_dir), S.purchase_clicks(spark, sf_dir),
+                   S.item_channel(spark, sf_dir), basic.where(F.col("status") == APPROVED).count())
 
 
 def _run_id(as_of: str) -> str:
     return as_of.replace(" ", "T").replace(":", "")
 
 
-def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool = False) -> dict[str, str]:
-    """Article profile job: T8 sentences, T9 vocabulary, T10/T11 keywords, T12 profile,
-    K1 similar articles. ``incremental`` restricts the articles to the last full hour
-    (S8) while the vocabulary still comes from the whole corpus."""
-    run = _run_id(as_of)
-    basic = inp.article_basic
+def _written(df: DataFrame, path: str, run: str) -> DataFrame:
+    """Write one run of a table and read it back."""
+    K.write_run_partition(df, path, "run", run)
+    return K.read_partition(df.sparkSession, path, "run", run).drop("run")
+
+
+def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool = False,
+                           vocab_size: int = A.VOCAB_SIZE) -> dict[str, str]:
+    """Article profile job over approved articles: T8 sentences, T9 vocabulary, T10/T11 keywords,
+    T12 profile, T13 Word2Vec article vectors, K1 similar articles.
+
+    The full run builds everything and saves the word-vector model. ``incremental`` takes the
+    articles of the last full hour (S8): the saved vocabulary and model are reused, topics
+    look at the keyword tables of all runs, and the new articles are joined with all
+    vectors (new x all). An hour without articles writes an empty T8 run and stops (P10).
+    """
+    run, spark = _run_id(as_of), inp.article_basic.sparkSession
+    basic = A.last_hour(inp.article_basic, as_of, status=APPROVED) if incremental \
+        else inp.article_basic.where(F.col("status") == APPROVED)
+    sent = _written(A.merge_article_data(basic, inp.article_content, inp.channels), f"{out}/article_data", run)
+    if sent.isEmpty():
+        return {"run": run, "articles": "none"}
+    tf = write_once(A.term_frequency(A.article_words(sent)), "term-frequency")
+    idf_path = f"{out}/idf_keywords_values"
     if incremental:
-        basic = A.last_hour(basic, as_of, status=None)
-    sent = A.merge_article_data(basic, inp.article_content, inp.channels)
-    K.write_run_partition(sent, f"{out}/article_data", "run", run)
-    sent = K.read_partition(sent.sparkSession, f"{out}/article_data", "run", run).drop("run")
-    corpus = A.merge_article_data(inp.article_basic, inp.article_content, inp.channels)
-    vocab = A.vocab_idf(A.term_frequency(A.article_words(corpus)), inp.n_documents)
-    K.write_run_partition(vocab, f"{out}/idf_keywords_values", "run", run)
-    vocab = K.read_partition(sent.sparkSession, f"{out}/idf_keywords_values", "run", run).drop("run")
-    tfidf = A.tfidf_top_k(A.term_frequency(A.article_words(sent)), vocab)
-    K.write_run_partition(tfidf, f"{out}/tfidf_keywords_values", "run", run)
-    tr = A.textrank(sent)
-    K.write_run_partition(tr, f"{out}/textrank_keywords_values", "run", run)
-    prof = A.article_profile(A.keyword_weights(tr, vocab), A.article_topics(tfidf, tr))
-    K.write_run_partition(prof, f"{out}/article_profile", "run", run)
-    sim = SIM.similar_top_k(inp.article_vector)
+        saved = K.latest_partition_value(spark, idf_path, "run")
+        vocab = K.read_partition(spark, idf_path, "run", saved).drop("run")
+    else:
+        vocab = _written(A.vocab_idf(tf, inp.n_documents, vocab_size), idf_path, run)
+    tfidf = _written(A.tfidf_top_k(tf, vocab, vocab_size=vocab_size), f"{out}/tfidf_keywords_values", run)
+    tr_path = f"{out}/textrank_keywords_values"
+    tr = _written(A.textrank(sent), tr_path, run)
+    all_tr = spark.read.parquet(tr_path).drop("run") if incremental else tr
+    prof = _written(A.article_profile(A.keyword_weights(tr, vocab, vocab_size), A.article_topics(tfidf, all_tr)),
+                    f"{out}/article_profile", run)
+    model_path, vec_path = f"{out}/models/word2vec", f"{out}/article_vector"
+    if incremental:
+        model = VEC.load_word2vec(model_path)
+    else:
+        words = A.article_words(sent).select("article_id", F.filter("words", lambda t: T.keep_token(t)).alias("words"))
+        model = VEC.train_word2vec(words, seed=SIM.SEED)
+        VEC.save_model(model, model_path)
+    vectors = _written(VEC.article_vectors(prof, VEC.word_vectors(model)), vec_path, run)
+    if incremental:
+        known = latest_by_key(spark.read.parquet(vec_path).withColumn("run", F.col("run").cast("string")),
+                              ["article_id"], ["run"]).drop("run")
+        sim = SIM.similar_top_k(known, of=vectors)
+    else:
+        sim = SIM.similar_top_k(vectors)
     K.write_similar(sim, f"{out}/article_similar", run)
     return {"run": run}
 
 
 def update_user_profile(inp: Inputs, profile: DataFrame, out: str, as_of: str,
-                        previous_basic: DataFrame | None = None) -> dict[str, str]:
-    """User profile job: T7 merge (K-S2), K4 partial topic weights, K4 basic."""
-    run = _run_id(as_of)
-    delta = BH.flatten_actions(inp.user_action)
+                        previous_basic: DataFrame | None = None, log_path: str | None = None,
+                        dt: str | None = None) -> dict[str, str]:
+    """User profile job: T7 merge (K-S2), K4 partial topic weights, K4 basic.
+
+    With ``log_path`` only the day ``dt`` of the partitioned log is read, through the gate (S6):
+    a day without data writes nothing.
+    """
+    run, action = _run_id(as_of), inp.user_action
+    if log_path is not None:
+        action = I.log_partition(profile.sparkSession, log_path, dt)
+        if action is None:
+            return {"run": run, "log": "none"}
+    delta = BH.flatten_actions(action)
     parts = [previous_basic, delta] if previous_basic is not None else [delta]
     basic = K.replace_table(BH.merge_behavior(*parts), f"{out}/user_article_basic", run)
     K.write_run_partition(BH.user_topic_weights(basic, profile, as_of), f"{out}/user_profile_partial", "run", run)
@@ -87,14 +130,16 @@ def update_user_profile(inp: Inputs, profile: DataFrame, out: str, as_of: str,
 def update_user_recall(inp: Inputs, basic: DataFrame, similar: DataFrame, history: DataFrame, out: str,
                        as_of: str, seed: int = SIM.SEED, n: int = RC.ALS_TOP_N) -> dict[str, str]:
     """Recall job: ALS recall and content recall, each minus the history; both written
-    to K2 (cb_recall) and K3 (history_recall) with the same version."""
+    to K2 (cb_recall) and K3 (history_recall) with the same version. Rows that this run
+    has written to the history before are no history for it, so it can be run again."""
     run = _run_id(as_of)
+    history = history.where(F.col("version_ts") != run)
     model, uidx, aidx = RC.fit_als(inp.ratings, seed=seed)
     als = RC.filter_history(RC.als_recall(model, uidx, aidx, inp.item_channel, n), history)
     content = RC.filter_history(
         RC.content_candidates(basic.where(F.col("clicked")), similar), history)
-    rows = (RC.versioned_rows(als.select("user_id", "channel_id", "article_id"), "als", run)
-            .unionByName(RC.versioned_rows(content, "content", run)))
+    rows = write_once(RC.versioned_rows(als.select("user_id", "channel_id", "article_id"), "als", run)
+                      .unionByName(RC.versioned_rows(content, "content", run)), "recall-rows")
     K.write_run_partition(rows.drop("version_ts"), f"{out}/cb_recall", "version_ts", run)
     written = K.read_partition(rows.sparkSession, f"{out}/cb_recall", "version_ts", run)
     K.write_run_partition(written.select("user_id", "channel_id", "article_id"),

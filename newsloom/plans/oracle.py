@@ -277,20 +277,13 @@ def _dlit(x: float) -> str:
 
 
 def _similar_ctes(k: int = _SIM.TOP_K, dim: int = 64) -> str:
-    proj = _SIM.projections(dim, _SIM.NUM_TABLES, _SIM.PROJ_PER_LEVEL, _SIM.LEVELS, _SIM.SEED)
-    m, lv_n, mx = _SIM.PROJ_PER_LEVEL, _SIM.LEVELS, _SIM.MAX_BUCKET
+    proj, offsets = _SIM.projections(dim, _SIM.NUM_TABLES, _SIM.PER_KEY, _SIM.SEED)
     hs = []
     for t in range(proj.shape[0]):
         hv = ", ".join(
-            f"CAST(floor(list_dot_product(vec, [{', '.join(_dlit(x) for x in proj[t, j])}]) / {_dlit(_SIM.BUCKET_LENGTH)}) AS BIGINT)"
-            for j in range(proj.shape[1]))
-        hs.append(f"SELECT article_id, channel_id, vec, {t} AS t, [{hv}] AS h FROM reps")
-    lv = ",\n".join(f"lv{i} AS (SELECT channel_id, t, h[1:{i * m}] AS k, count(*) AS n FROM hs GROUP BY ALL)"
-                     for i in range(1, lv_n + 1))
-    joins = " ".join(f"JOIN lv{i} ON lv{i}.channel_id = hs.channel_id AND lv{i}.t = hs.t AND lv{i}.k = hs.h[1:{i * m}]"
-                     for i in range(1, lv_n + 1))
-    case = "CASE " + " ".join(f"WHEN lv{i}.n <= {mx} THEN [CAST({i} AS BIGINT)] || hs.h[1:{i * m}]"
-                              for i in range(1, lv_n)) + f" ELSE [CAST({lv_n} AS BIGINT)] || hs.h[1:{lv_n * m}] END"
+            f"CAST(floor(list_dot_product(vec, [{', '.join(_dlit(x) for x in proj[t, j])}]) / {_dlit(_SIM.BUCKET_LENGTH)}"
+            f" + {_dlit(offsets[t, j])}) AS BIGINT)" for j in range(proj.shape[1]))
+        hs.append(f"SELECT article_id, channel_id, vec, {t} AS t, [{hv}] AS key FROM reps")
     return f"""
 v AS (SELECT vec_id AS article_id, CAST(label + 1 AS INTEGER) AS channel_id, CAST(embedding AS DOUBLE[]) AS vec
       FROM embeddings),
@@ -300,9 +293,7 @@ heads AS (SELECT rep, article_id AS head
           FROM (SELECT rep, article_id, row_number() OVER (PARTITION BY rep ORDER BY article_id) AS rn FROM mem)
           WHERE rn <= {k + 1}),
 reps AS (SELECT rep AS article_id, channel_id, vec FROM grp),
-hs AS ({" UNION ALL ".join(hs)}),
-{lv},
-keyed AS (SELECT hs.article_id, hs.channel_id, hs.vec, hs.t, {case} AS key FROM hs {joins}),
+keyed AS ({" UNION ALL ".join(hs)}),
 dist AS (SELECT DISTINCT a.article_id AS a, b.article_id AS b, list_distance(a.vec, b.vec) AS d
          FROM keyed a JOIN keyed b ON a.channel_id = b.channel_id AND a.t = b.t AND a.key = b.key
          WHERE a.article_id <> b.article_id AND list_distance(a.vec, b.vec) < {_dlit(_SIM.THRESHOLD)}),
@@ -325,6 +316,16 @@ SIMILAR_CTES = _similar_ctes()
 ORACLE["similar_top10"] = _with(SIMILAR_CTES) + \
     "SELECT article_id, channel_id, similar_id, round(distance, 6) AS distance, rank FROM sim"
 
+ORACLE["similar_exact_top10"] = """
+WITH v AS (SELECT vec_id AS article_id, CAST(label + 1 AS INTEGER) AS channel_id, CAST(embedding AS DOUBLE[]) AS vec
+           FROM embeddings),
+p AS (SELECT a.article_id, a.channel_id, b.article_id AS similar_id, list_distance(a.vec, b.vec) AS distance
+      FROM v a JOIN v b ON a.channel_id = b.channel_id AND a.article_id <> b.article_id WHERE a.article_id % 50 = 0)
+SELECT article_id, channel_id, similar_id, round(distance, 6) AS distance, CAST(rn AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round(distance, 9), similar_id) AS rn
+      FROM p WHERE distance < 2.0) WHERE rn <= 10
+"""
+
 ORACLE["channel_centroid"] = """
 WITH e AS (SELECT CAST(label + 1 AS INTEGER) AS channel_id, unnest(CAST(embedding AS DOUBLE[])) AS x,
                   CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos FROM embeddings)
@@ -360,6 +361,32 @@ SELECT user_id, CAST(row_number() OVER (ORDER BY cnt DESC, CAST(user_id AS VARCH
 FROM (SELECT o_custkey AS user_id, count(*) AS cnt FROM orders GROUP BY o_custkey)
 """
 
+ORACLE["als_list_sizes"] = """
+WITH r AS (SELECT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+n AS (SELECT least(100, count(DISTINCT l_partkey)) AS k FROM r)
+SELECT DISTINCT o_custkey AS user_id, k AS n_items, k AS n_distinct FROM r, n
+"""
+
+ORACLE["recall_lists"] = _with(BEHAVIOR_CTES) + """
+SELECT user_id, channel_id, string_agg(CAST(article_id AS VARCHAR), ',' ORDER BY article_id) AS article_list
+FROM basic WHERE clicked GROUP BY user_id, channel_id
+"""
+
+ORACLE["log_partition_day"] = _with(f"ua AS ({USER_ACTION})") + \
+    "SELECT actionTime, channelId, userId, action, dt FROM ua WHERE dt = '2024-01-15'"
+
+ORACLE["log_range_counts"] = _with(f"ua AS ({USER_ACTION})") + \
+    "SELECT dt, count(*) AS n FROM ua WHERE dt >= '2024-01-20' GROUP BY dt"
+
+ORACLE["sink_round_trip"] = ORACLE["user_age"]
+
+ORACLE["map_profile_prefix"] = _with(UTW_CTES) + """,
+g AS (SELECT u.user_id, CAST(c.channel_id AS INTEGER) AS channel_id
+      FROM (SELECT DISTINCT user_id FROM utw) u, range(1, 26) c(channel_id))
+SELECT g.user_id, g.channel_id, count(utw.topic) AS n_topics, round(coalesce(sum(utw.weight), 0e0), 6) AS total
+FROM g LEFT JOIN utw ON utw.user_id = g.user_id AND utw.channel_id = g.channel_id GROUP BY g.user_id, g.channel_id
+"""
+
 ORACLE["content_recall"] = _with(SIMILAR_CTES, HIST_CTES) + """
 SELECT user_id, channel_id, article_id FROM cand
 WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = cand.user_id AND h.channel_id = cand.channel_id
@@ -437,6 +464,17 @@ feat AS (SELECT t.*, 0 AS pos, CAST(t.channel_id AS DOUBLE) AS value FROM tr_row
 SELECT user_id, article_id, clicked, channel_id, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM feat
 """
 
+ORACLE["ctr_score_rows"] = _with(UTW_CTES + AF_CTES) + """
+SELECT b.user_id, b.article_id, CAST(b.clicked AS INTEGER) AS clicked, true AS in_range
+FROM basic b JOIN vecs v ON v.article_id = b.article_id
+WHERE b.user_id IN (SELECT user_id FROM utw) AND b.article_id IN (SELECT article_id FROM prof_ch)
+"""
+
+ORACLE["word2vec_mean_check"] = _with(PROFILE_CTES) + """,
+freq AS (SELECT token, sum(tf) AS n FROM tf GROUP BY token HAVING sum(tf) >= 3)
+SELECT DISTINCT article_id, 100 AS dim, true AS is_mean FROM prof_kw WHERE keyword IN (SELECT token FROM freq)
+"""
+
 ORACLE["kv_export_keys"] = _with(UTW_CTES) + f""",
 up AS (SELECT c_custkey AS user_id, (c_custkey % 2) = 1 AS gender,
               CASE WHEN c_custkey % 10 = 0 THEN NULL
@@ -463,15 +501,16 @@ ua AS ({USER_ACTION}),
 fl AS ({FLAT}),
 hist AS (SELECT user_id, channel_id, article_id FROM fl WHERE NOT (shared OR clicked OR collected)),
 oc AS (SELECT TRY_CAST(userId AS BIGINT) AS user_id, TRY_CAST(articleId AS BIGINT) AS article_id,
-              channelId AS channel_id, action
+              channelId AS channel_id, action,
+              CAST(least((CAST(substr(dt, 9, 2) AS INTEGER) - 1) // 8, 3) AS INTEGER) AS batch
        FROM ua WHERE action IN ('click', 'collect', 'share'))
 """
 
 ORACLE["online_recall"] = _with(SIMILAR_CTES, ONLINE_CTES) + """,
 oc2 AS (SELECT * FROM oc WHERE user_id IS NOT NULL AND article_id IS NOT NULL),
-cand AS (SELECT DISTINCT c.user_id, c.channel_id, s.similar_id AS article_id
-         FROM oc2 c JOIN sim s ON s.article_id = c.article_id WHERE s.rank <= 10)
-SELECT user_id, channel_id, article_id FROM cand
+cand AS (SELECT c.user_id, c.channel_id, s.similar_id AS article_id, min(c.batch) AS batch
+         FROM oc2 c JOIN sim s ON s.article_id = c.article_id WHERE s.rank <= 10 GROUP BY ALL)
+SELECT user_id, channel_id, article_id, batch FROM cand
 WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = cand.user_id AND h.channel_id = cand.channel_id
                                          AND h.article_id = cand.article_id)
 """

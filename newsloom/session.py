@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC clock (string timestamps are parsed in the
 # session zone), AQE for runtime re-planning (coalescing, skew-join splitting,
@@ -76,27 +76,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return os.cpu_count() or 8
-
-
-def write_bucketed(df, keys: list[str], buckets: int, name: str):
-    """Materialise ``df`` as a table bucketed by ``keys`` in the shared checkpoint folder
-    and return a DataFrame reading it back.
-
-    Reads of a bucketed table are hash-partitioned on ``keys``, so joins and
-    aggregates keyed by them run partition-local (no shuffle), and the write cuts
-    the lineage: a lost executor re-reads files instead of recomputing the plan.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    table = f"{name}_{uuid.uuid4().hex[:12]}"
-    df.write.bucketBy(buckets, *keys).option("path", path).mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several consumers read to the shared checkpoint folder and read it
+    back. The write cuts the lineage: a lost executor re-reads files instead of recomputing
+    the plan. No catalog entry is made, so nothing is left behind but the scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -59,7 +60,9 @@ def log_partition(spark: SparkSession, path: str, dt: str) -> DataFrame | None:
     """
     try:
         df = spark.read.parquet(path)
-    except Exception:  # the table folder does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing folder means "no data yet"
+            raise
         return None
     day = df.where(F.col("dt") == F.lit(dt).cast(df.schema["dt"].dataType))
     return None if day.isEmpty() else day

@@ -1,9 +1,9 @@
 """Sinks (K-S1 ... K-S10): the reference's Hive appends and key-value puts become
 partitioned table writes that are safe to re-run.
 
-* a run writes its own partition (``run=...`` / ``version=...``) with dynamic
-  partition overwrite, so re-running an hour replaces that hour (Q2) and a lost
-  task or a replayed stream batch never duplicates rows;
+* a run overwrites its own partition folder (``run=...`` / ``version=...``), so re-running an
+  hour replaces that hour (Q2), also by no rows at all, and a lost task or a replayed
+  stream batch never duplicates rows;
 * a table rebuilt from itself plus a delta (K-S2) is written to a new version
   folder and read back by version -- a path is never read and overwritten at once;
 * nothing is collected to the driver (the reference's batched put after collect()).
@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 def write_run_partition(df: DataFrame, path: str, column: str, value: str) -> None:
     """K-S1 / K-S4 / K-S5 / K-S6 / K-S7 / K-S8 / K-S9: write ``df`` as partition
-    ``column=value`` of the table at ``path``, replacing only that partition."""
-    (df.withColumn(column, F.lit(value))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(column).parquet(path))
+    ``column=value`` of the table at ``path``, replacing only that partition. The folder is
+    named explicitly, so an empty result clears it."""
+    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def read_partition(spark: SparkSession, path: str, column: str, value: str) -> DataFrame:
@@ -45,5 +44,7 @@ def write_similar(similar: DataFrame, path: str, run: str) -> None:
     partitioned by channel and run."""
     out = similar.where(F.col("article_id") != F.col("similar_id")) \
         .select("channel_id", "article_id", "similar_id", F.round("distance", 4).alias("distance"), "rank")
-    (out.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run", "channel_id").parquet(path))
+    if out.isEmpty():  # a partitioned write of no rows would leave no file to read the schema from
+        out.write.mode("overwrite").parquet(f"{path}/run={run}")
+    else:
+        out.write.mode("overwrite").partitionBy("channel_id").parquet(f"{path}/run={run}")

@@ -17,31 +17,17 @@ ORDER_DELTA_FROM = "2001-01-01 00:00:00"
 ALGORITHM_COMBINE = "C2"
 
 
-# Key of each input table, used to spread a scan that arrives in too few splits.
-TABLE_KEYS = {
-    "documents": "doc_id", "events": "event_id", "pages": "page_id", "lineitem": "l_orderkey",
-    "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "embeddings": "vec_id",
-    "labels": "doc_id", "supplier": "s_suppkey", "benchmark": "item_id", "conversations": "conv_id",
-}
+# Runtime setting: spread every scan over this many partitions before per-row work. Unset (the
+# default) means that the plan is the bare scan; the plan never depends on file or core counts.
+# It is for tables laid out as one large row group, which Spark cannot split.
+SCAN_PARTITIONS = "newsloom.scan.partitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one input table.
-
-    When the files give fewer splits than there are cores (one large row group,
-    say), the rows are hash-spread on the table key so that the
-    per-row work before the first shuffle (regex tokenising, JSON parsing) uses
-    every core. Filters and column pruning still reach the scan; on a cluster with
-    many input splits nothing is added.
-    """
+    """Scan one input table (spread only if ``newsloom.scan.partitions`` is set)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TABLE_KEYS.get(name)
-    if key is None:
-        return df
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target, key)
-    return df
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions), df.columns[0]) if partitions else df
 
 
 # --------------------------------------------------------------------------- articles
@@ -127,9 +113,15 @@ def _action_expr(event_type: Column) -> Column:
     return expr
 
 
-def user_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The click log with its nested ``param`` struct and ``dt`` partition value."""
-    return user_action_from(read_table(spark, sf_dir, "events"), article_channel(spark, sf_dir))
+def user_action(spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None) -> DataFrame:
+    """The click log with its nested ``param`` struct and ``dt`` partition value; ``since``
+    and ``before`` bound the event time [since, before) and reach the scan."""
+    events = read_table(spark, sf_dir, "events")
+    if since:
+        events = events.where(F.col("ts") >= F.lit(since).cast(events.schema["ts"].dataType))
+    if before:
+        events = events.where(F.col("ts") < F.lit(before).cast(events.schema["ts"].dataType))
+    return user_action_from(events, article_channel(spark, sf_dir))
 
 
 def user_action_from(events: DataFrame, channels: DataFrame) -> DataFrame:

@@ -5,18 +5,21 @@ each batch keeps the click / collect / share actions, joins the clicked articles
 with their top-10 similar articles (static K1 table), removes what the user was
 already given in that channel (the K3 history store as of the batch start), and
 writes the recall rows and the new history rows. Writes go to a folder named by
-the batch id with overwrite, so a replayed batch (restart from the checkpoint)
-replaces its own output instead of adding duplicates.
+the batch id with overwrite, and a batch reads the history of earlier batches only,
+so a replayed batch (restart from the checkpoint) sees what it saw the first time and
+replaces its own output. The history is partitioned by a hash of the user; a batch
+reads the parts of its own users.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.behavior import CLICK_ACTIONS
 from newsloom.operators import recall as RC
 from newsloom.operators.topk import top_k
+from newsloom.session import write_once
 
 CLICK_SCHEMA = ("actionTime string, readTime string, channelId int, "
                 "param struct<action:string, userId:string, articleId:string, algorithmCombine:string>")
@@ -55,34 +58,54 @@ def recall_for_clicks(clicks: DataFrame, similar: DataFrame, history: DataFrame,
     return RC.filter_history(cand, history)
 
 
+HISTORY_SCHEMA = "user_id long, channel_id int, article_id long, version_ts string, batch int, part int"
+RECALL_SCHEMA = "user_id long, source string, channel_id int, article_id long, batch int"
+HISTORY_PARTS = 64   # parts of the history store, by user
+
+
+def history_part(user_id: Column) -> Column:
+    return F.pmod(F.xxhash64(user_id), F.lit(HISTORY_PARTS)).cast("int")
+
+
+def _write_history(rows: DataFrame, store_dir: str, batch_id: int) -> None:
+    out = rows.withColumn("part", history_part(F.col("user_id")))
+    # the folder is the batch's own and is cleared first, also if there is nothing to write
+    out.write.mode("overwrite").partitionBy("part").parquet(f"{store_dir}/history/batch={batch_id}")
+
+
 def make_batch_writer(similar: DataFrame, store_dir: str, k: int = 10):
-    """ST4 / ST5 / ST6: the foreachBatch body (no collect; idempotent per batch id)."""
-    recall_dir, history_dir = f"{store_dir}/recall", f"{store_dir}/history"
+    """ST4 / ST5 / ST6: the foreachBatch body, idempotent per batch id.
 
+    ``similar`` should be a written table (K1): it is read by every batch. Only the list of
+    the batch's history parts (at most HISTORY_PARTS numbers) reaches the driver.
+    """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        clicks = parse_clicks(batch)
-        history = spark.read.parquet(history_dir)
+        clicks = write_once(parse_clicks(batch), "online-clicks")
+        parts = [r[0] for r in clicks.select(history_part(F.col("user_id"))).distinct().collect()]
+        history = (spark.read.schema(HISTORY_SCHEMA).parquet(f"{store_dir}/history")
+                   .where((F.col("batch") < batch_id) & F.col("part").isin(parts)))
         rows = recall_for_clicks(clicks, similar, history, k)
-        out = f"{recall_dir}/batch={batch_id}"
+        out = f"{store_dir}/recall/batch={batch_id}"
         (rows.select("user_id", F.lit("online").alias("source"), "channel_id", "article_id")
          .write.mode("overwrite").parquet(out))
-        new_hist = spark.read.parquet(out).select(
-            "user_id", "channel_id", "article_id", F.lit(f"online-{batch_id:012d}").alias("version_ts"))
-        new_hist.write.mode("overwrite").parquet(f"{history_dir}/batch={batch_id}")
+        _write_history(spark.read.parquet(out).select(
+            "user_id", "channel_id", "article_id", F.lit(f"online-{batch_id:012d}").alias("version_ts")),
+            store_dir, batch_id)
 
     return write_batch
 
 
 def seed_history(history: DataFrame, store_dir: str) -> None:
     """Initial K3 contents (batch = -1)."""
-    history.select("user_id", "channel_id", "article_id", F.col("version_ts").cast("string")) \
-        .write.mode("overwrite").parquet(f"{store_dir}/history/batch=-1")
+    _write_history(history.select("user_id", "channel_id", "article_id", F.col("version_ts").cast("string")),
+                   store_dir, -1)
 
 
 def start_online_recall(messages: DataFrame, similar: DataFrame, store_dir: str, checkpoint: str,
                         available_now: bool = False, interval: str = BATCH_INTERVAL, k: int = 10):
-    """Start the streaming query; ``available_now`` drains what is there and stops (tests, backfill)."""
+    """Start the streaming query; ``available_now`` drains what is there and stops (tests, backfill).
+    ``similar`` is a written K1 table."""
     w = messages.writeStream.foreachBatch(make_batch_writer(similar, store_dir, k)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -90,7 +113,7 @@ def start_online_recall(messages: DataFrame, similar: DataFrame, store_dir: str,
 
 
 def read_recall(spark: SparkSession, store_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{store_dir}/recall")
+    return spark.read.schema(RECALL_SCHEMA).parquet(f"{store_dir}/recall")
 
 
 # --------------------------------------------------------------------------- ST7 (declared only in the reference)

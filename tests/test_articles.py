@@ -85,13 +85,9 @@ def test_vocab_and_tfidf_ties(spark):
     assert 3 not in per                                          # article with no tokens
 
 
-import pytest
-
-
-@pytest.mark.parametrize("node_ids", ["hash", "word"])
-def test_textrank_matches_python_loop(spark, node_ids):
+def test_textrank_matches_python_loop(spark):
     got = defaultdict(list)
-    for r in A.textrank(_sent(spark), partitions=4, node_ids=node_ids).collect():
+    for r in A.textrank(_sent(spark)).collect():
         got[r.article_id].append((r.keyword, r.textrank))
     for aid, _, text in DOCS:
         want = _textrank_py(text)

@@ -60,6 +60,30 @@ def test_stream_equals_batch_one_and_many_batches(spark, tmp_path):
     assert ON.read_recall(spark, store2).count() == n
 
 
+def test_replay_before_commit_loses_nothing(spark, tmp_path):
+    """A batch that has written its recall and history but was not committed runs again."""
+    store = str(tmp_path / "replay-store")
+    ON.seed_history(spark.createDataFrame([(1, 3, 8, "2024-01-01")], "user_id long, channel_id int, article_id long, "
+                                                                     "version_ts string"), store)
+    sim = spark.createDataFrame(SIM_ROWS, "article_id long, similar_id long, rank int")
+    write = ON.make_batch_writer(sim, store)
+    first, second = _msgs(spark, EVENTS[:1]), _msgs(spark, EVENTS)
+
+    def stored():
+        return sorted((r.batch, r.user_id, r.channel_id, r.article_id) for r in ON.read_recall(spark, store).collect())
+
+    write(first, 0)
+    write(second, 1)
+    once = stored()
+    assert once == [(0, 1, 3, 7), (1, 1, 3, 9), (1, 2, 4, 5)]
+    write(second, 1)
+    assert stored() == once
+    write(first, 0)
+    assert stored() == once
+    write(spark.createDataFrame([], "value string"), 1)        # an empty replay clears its rows
+    assert stored() == once[:1]
+
+
 def test_hot_articles_topk(spark):
     clicks = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 7)] + [(1, 8)] * 3, "channel_id int, article_id long")
     got = [(r.channel_id, r.article_id, r.rank) for r in ON.hot_articles(clicks, k=2).orderBy("channel_id", "rank")
