@@ -99,7 +99,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken = mix_sources(docs, **options).filter("taken > 0").select(
         F.col(ROW).alias("_taken_row"), F.col("size").alias("_size"), "taken")
     marked = docs.withColumn("_mix_row", F.monotonically_increasing_id())
-    joined = marked.join(materialise(taken, "mix-taken"), F.col("_mix_row") == F.col("_taken_row"))
+    # a row for nearly every document: never a broadcast, at any size
+    joined = marked.join(materialise(taken, "mix-taken").hint("merge"), F.col("_mix_row") == F.col("_taken_row"))
     epoch = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("_size")).cast("int")))
     words = F.least(F.col("_size"), F.col("taken") - (F.col("mix_epoch") - 1) * F.col("_size"))
     return joined.select(*[marked[c] for c in docs.columns], "taken", "_size", epoch.alias("mix_epoch")).select(

@@ -227,6 +227,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     input); all columns are kept as they are."""
     found = materialise(simhash_classes(docs, id_col, text_col, **options), "simhash-members")
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", ROW)).alias("best"))
-    kept = materialise(best.select(F.col(f"best.{ROW}").alias("_kept")), "simhash-kept")
+    kept = materialise(best.select(F.col(f"best.{ROW}").alias(ROW)), "simhash-kept")
+    # the rows that go are far fewer than those that stay
+    dropped = found.join(kept, ROW, "left_anti").select(F.col(ROW).alias("_dropped"))
     marked = docs.withColumn("_near_row", F.monotonically_increasing_id())
-    return marked.join(kept, F.col("_near_row") == F.col("_kept"), "left_semi").drop("_near_row")
+    return marked.join(materialise(dropped, "simhash-dropped"), F.col("_near_row") == F.col("_dropped"),
+                       "left_anti").drop("_near_row")
