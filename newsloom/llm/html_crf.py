@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -68,7 +69,7 @@ class Element:
 @dataclass
 class Leaf:
     text: str
-    path: tuple[Element, ...]
+    path: tuple[Element, ...]  # the nearest ancestors, innermost last
     links: int  # characters inside links
     label: int | None = None
 
@@ -80,6 +81,7 @@ class BlockParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.leaves: list[Leaf] = []
         self.stack: list[Element] = []
+        self.open: Counter[str] = Counter()  # tags on the stack: stray end tags cost no search
         self.hidden: list[str] = []
         self.parts: list[str] = []
         self.links = self.in_link = 0
@@ -87,20 +89,25 @@ class BlockParser(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            label = next((e.label for e in reversed(self.stack) if e.label is not None), None)
-            self.leaves.append(Leaf(text, tuple(self.stack), min(self.links, len(text)),
+            label = self.stack[-1].label if self.stack else None
+            self.leaves.append(Leaf(text, tuple(self.stack[-DEEPEST:]), min(self.links, len(text)),
                                     None if label is None else int(label == "1")))
         self.parts, self.links = [], 0
 
     def close_open(self, tags: set[str] | frozenset[str], scope: frozenset[str]) -> None:
         """End the innermost open element among the tags, unless a scope element lies inside it."""
+        if not any(self.open[t] for t in tags):
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at].tag in tags:
-                del self.stack[at:]
-                return
+                return self.cut(at)
             if self.stack[at].tag in scope:
                 return
 
+    def cut(self, at: int) -> None:
+        self.open.subtract(e.tag for e in self.stack[at:])
+        del self.stack[at:]
+
     def handle_starttag(self, tag, attrs):
         if tag == "body":
             self.hidden.clear()
@@ -122,7 +129,9 @@ class BlockParser(HTMLParser):
         if tag not in VOID_TAGS:
             found = dict(attrs)
             words = re.findall("[a-z]+", " ".join(found.get(k) or "" for k in ("class", "id", "role")).lower())
-            self.stack.append(Element(tag, tuple(words), found.get("data-label")))
+            outer = self.stack[-1].label if self.stack else None
+            self.stack.append(Element(tag, tuple(words), found.get("data-label") or outer))
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -141,10 +150,8 @@ class BlockParser(HTMLParser):
         if tag not in BLOCK_TAGS and tag not in FORM_TAGS:
             return
         self.flush()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at].tag == tag:
-                del self.stack[at:]
-                return
+        if self.open[tag]:
+            self.cut(next(at for at in range(len(self.stack) - 1, -1, -1) if self.stack[at].tag == tag))
 
     def handle_data(self, data):
         if not self.hidden:
@@ -166,8 +173,7 @@ def leaf_blocks(html: str | None) -> list[Leaf]:
 
 def path_features(path: tuple[Element, ...]) -> list[str]:
     found = []
-    near = path[-DEEPEST:]
-    for element in near:
+    for element in path:
         found.append(f"in:{element.tag}")
         for word in element.words:
             found.append(f"word:{word}")
@@ -317,8 +323,7 @@ class Field:
     cache: dict = field(default_factory=dict, repr=False)
 
     def emission(self, leaf: Leaf, place: int, count: int) -> float:
-        key = leaf.path[-DEEPEST:]
-        key = tuple((e.tag, e.words) for e in key)
+        key = tuple((e.tag, e.words) for e in leaf.path)
         base = self.cache.get(key)
         if base is None:
             if len(self.cache) > 20_000:

@@ -170,6 +170,12 @@ def test_html_extraction_of_given_pages(spark, save):
     assert html_crf.extract_main_text(table.limit(0)).count() == 0
 
 
+def test_html_parser_is_linear_on_broken_pages():
+    deep = html_crf.leaf_blocks("<article>" + "<div>x</p></li>" * 60_000)
+    assert len(deep) == 60_000 and all(len(x.path) <= html_crf.DEEPEST for x in deep)
+    assert [x.text for x in html_crf.leaf_blocks("<p><b>One.<br><p>two<li>a<li>b</ul>tail")] == ["One.", "two", "a", "b", "tail"]
+
+
 def brute_mix(rows):
     size = [len((t or "").encode().split()) for _, t, _ in rows]
     sources = sorted({s for _, _, s in rows if s is not None}) + ([None] if any(s is None for _, _, s in rows) else [])
