@@ -15,7 +15,7 @@ of the sample's blocks, at most ``sample_blocks`` a page, reach it.
 Defined results: a null or empty html, and a page without a main block, give an empty text;
 character references are decoded, white space inside a block becomes one space, blocks are joined
 by two newlines; unclosed and stray tags are repaired as browsers do for paragraphs and list
-items; repeated rows get the same answer each; an empty table gives an empty result. Columns other
+items, and marked sections (``<![...>``) are skipped up to the next ``>``; repeated rows get the same answer each; an empty table gives an empty result. Columns other
 than id, url and html are not read.
 """
 
@@ -159,14 +159,15 @@ class BlockParser(HTMLParser):
             if self.in_link:
                 self.links += len(data)
 
+    def parse_marked_section(self, i, report=1):
+        """HTML has no marked sections: any ``<![`` starts a comment that ends at the next ``>``."""
+        return self.parse_bogus_comment(i, report)
+
 
 def leaf_blocks(html: str | None) -> list[Leaf]:
     parser = BlockParser()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except AssertionError:  # the parser gives up on some broken declarations; what it has read counts
-        pass
+    parser.feed(html or "")
+    parser.close()
     parser.flush()
     return parser.leaves
 

@@ -176,6 +176,14 @@ def test_html_parser_is_linear_on_broken_pages():
     assert [x.text for x in html_crf.leaf_blocks("<p><b>One.<br><p>two<li>a<li>b</ul>tail")] == ["One.", "two", "a", "b", "tail"]
 
 
+@pytest.mark.parametrize("mark", ["<![foo]>", "<![ x ]>", "<![>", "<![]>", "<![endif]-->", "<![if !mso]>", "<![CDATA[x]]>",
+                                  "<![3]>"])
+def test_text_behind_marked_sections_is_kept(mark):
+    assert [x.text for x in html_crf.leaf_blocks(f"<p>a</p>{mark}<p>b</p>")] == ["a", "b"]
+    assert [x.text for x in html_crf.leaf_blocks(f"a {mark} b</p><p>c</p>")] == ["a b", "c"]
+    assert html_crf.leaf_blocks(f"<p>a</p>{mark[:-1]}")[0].text == "a"
+
+
 def brute_mix(rows):
     size = [len((t or "").encode().split()) for _, t, _ in rows]
     sources = sorted({s for _, _, s in rows if s is not None}) + ([None] if any(s is None for _, _, s in rows) else [])
