@@ -1,7 +1,7 @@
 """Main-text extraction with a linear-chain conditional random field over DOM leaf blocks.
 
 A page is parsed into leaf blocks: runs of text between block-level tags, in page order, each with
-its ancestor tags and their class, id and role words. Scripts, styles and other unrendered content
+its ancestor tags, at any depth, and their class, id and role words. Scripts, styles and other unrendered content
 are no blocks. Features are the ancestors, the block's own tag, and the text's length, link share,
 punctuation and place; the field labels the chain of blocks as main text or not, and Viterbi
 decoding takes the best chain.
@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -56,20 +57,37 @@ consent notice alert gdpr popup modal overlay share sharing social follow relate
 reply replies respond discussion disqus form login signup subscribe newsletter search widget pagination pager legal
 copyright complementary contentinfo toolbar tags skip""".split())
 MAIN = frozenset("content article post entry story main body text maincontent postcontent entrycontent".split())
-DEEPEST = 24  # nearest ancestors that features are taken from
+SERVING_TAGS = frozenset("nav aside footer form button label select".split())
+DEEPEST = 2  # nearest ancestors that a leaf names apart (own, parent); features come from all of them
 
 
-@dataclass
+@lru_cache(maxsize=20_000)
+def element_features(tag: str, words: tuple[str, ...]) -> tuple[str, ...]:
+    found = {f"in:{tag}"}
+    for word in words:
+        found.add(f"word:{word}")
+        if word in BOILERPLATE:
+            found.add("is:boilerplate")
+        if word in MAIN:
+            found.add("is:main")
+    return tuple(sorted(found))
+
+
+@dataclass(eq=False)
 class Element:
     tag: str
     words: tuple[str, ...]
     label: str | None = None
+    parent: Element | None = field(default=None, repr=False)
+    new: tuple[str, ...] = ()  # features that no ancestor has
+    markup: int | None = None  # main text by the markup of all ancestors: 1, 0 for a serving part inside it, else None
+    weight: float | None = None  # of the features of this element and all its ancestors
 
 
 @dataclass
 class Leaf:
     text: str
-    path: tuple[Element, ...]  # the nearest ancestors, innermost last
+    path: tuple[Element, ...]  # the nearest ancestors, innermost last; Element.parent leads to the others
     links: int  # characters inside links
     label: int | None = None
 
@@ -82,6 +100,7 @@ class BlockParser(HTMLParser):
         self.leaves: list[Leaf] = []
         self.stack: list[Element] = []
         self.open: Counter[str] = Counter()  # tags on the stack: stray end tags cost no search
+        self.inherited: set[str] = set()  # features of the elements on the stack
         self.hidden: list[str] = []
         self.parts: list[str] = []
         self.links = self.in_link = 0
@@ -105,9 +124,19 @@ class BlockParser(HTMLParser):
                 return
 
     def cut(self, at: int) -> None:
-        self.open.subtract(e.tag for e in self.stack[at:])
+        for element in self.stack[at:]:
+            self.open[element.tag] -= 1
+            self.inherited.difference_update(element.new)
         del self.stack[at:]
 
+    def push(self, tag: str, words: tuple[str, ...], label: str | None) -> None:
+        outer = self.stack[-1] if self.stack else None
+        new = tuple(f for f in element_features(tag, words) if f not in self.inherited)
+        self.inherited.update(new)
+        self.stack.append(Element(tag, words, label or (outer.label if outer else None), outer, new,
+                                  markup_label(tag, words, outer.markup if outer else None)))
+        self.open[tag] += 1
+
     def handle_starttag(self, tag, attrs):
         if tag == "body":
             self.hidden.clear()
@@ -129,9 +158,7 @@ class BlockParser(HTMLParser):
         if tag not in VOID_TAGS:
             found = dict(attrs)
             words = re.findall("[a-z]+", " ".join(found.get(k) or "" for k in ("class", "id", "role")).lower())
-            outer = self.stack[-1].label if self.stack else None
-            self.stack.append(Element(tag, tuple(words), found.get("data-label") or outer))
-            self.open[tag] += 1
+            self.push(tag, tuple(words), found.get("data-label"))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -172,21 +199,19 @@ def leaf_blocks(html: str | None) -> list[Leaf]:
     return parser.leaves
 
 
+def place_features(path: tuple[Element, ...]) -> list[str]:
+    """Of the two nearest ancestors, beside what is inherited."""
+    return [f"{name}:{element.tag}" for name, element in zip(("own", "parent"), reversed(path))]
+
+
 def path_features(path: tuple[Element, ...]) -> list[str]:
-    found = []
-    for element in path:
-        found.append(f"in:{element.tag}")
-        for word in element.words:
-            found.append(f"word:{word}")
-            if word in BOILERPLATE:
-                found.append("is:boilerplate")
-            if word in MAIN:
-                found.append("is:main")
-    if path:
-        found.append(f"own:{path[-1].tag}")
-    if len(path) > 1:
-        found.append(f"parent:{path[-2].tag}")
-    return sorted(set(found))
+    """Of all ancestors, at any depth."""
+    found = place_features(path)
+    element = path[-1] if path else None
+    while element:
+        found.extend(element.new)
+        element = element.parent
+    return sorted(found)
 
 
 def text_features(leaf: Leaf, place: int, count: int) -> list[str]:
@@ -203,16 +228,20 @@ def text_features(leaf: Leaf, place: int, count: int) -> list[str]:
     return found
 
 
-def label_by_markup(leaf: Leaf) -> int:
+def markup_label(tag: str, words: tuple[str, ...], outer: int | None) -> int | None:
     """Main text: inside an article or main element, and in nothing inside it that serves the page."""
-    inside = False
-    for element in leaf.path:
-        if element.tag in ("article", "main") and not BOILERPLATE & set(element.words):
-            inside = True
-        elif inside and (element.tag in ("nav", "aside", "footer", "form", "button", "label", "select")
-                         or BOILERPLATE & set(element.words)):
-            return 0
-    return int(inside)
+    serving = bool(BOILERPLATE & set(words))
+    if outer == 0:
+        return 0
+    if tag in ("article", "main") and not serving:
+        return 1
+    if outer == 1 and (tag in SERVING_TAGS or serving):
+        return 0
+    return outer
+
+
+def label_by_markup(leaf: Leaf) -> int:
+    return (leaf.path[-1].markup or 0) if leaf.path else 0
 
 
 class GeneratedPages:
@@ -321,16 +350,22 @@ class Field:
     weights: dict[str, float]
     start: np.ndarray
     moves: np.ndarray
-    cache: dict = field(default_factory=dict, repr=False)
+
+    def inherited(self, element: Element | None) -> float:
+        """Weight of the features of an element and all its ancestors, summed once an element."""
+        todo = []
+        while element and element.weight is None:
+            todo.append(element)
+            element = element.parent
+        total = element.weight if element else 0.0
+        for element in reversed(todo):
+            total += sum(self.weights.get(f, 0.0) for f in element.new)
+            element.weight = total
+        return total
 
     def emission(self, leaf: Leaf, place: int, count: int) -> float:
-        key = tuple((e.tag, e.words) for e in leaf.path)
-        base = self.cache.get(key)
-        if base is None:
-            if len(self.cache) > 20_000:
-                self.cache.clear()
-            base = self.cache[key] = sum(self.weights.get(f, 0.0) for f in path_features(leaf.path))
-        return base + sum(self.weights.get(f, 0.0) for f in text_features(leaf, place, count))
+        base = self.inherited(leaf.path[-1] if leaf.path else None)
+        return base + sum(self.weights.get(f, 0.0) for f in place_features(leaf.path) + text_features(leaf, place, count))
 
     def viterbi(self, scores: list[float]) -> list[int]:
         """Best labels for emissions of label 1 (those of label 0 are zero)."""
@@ -419,8 +454,9 @@ def sampled_sequences(pages: DataFrame, id_col: str, html_col: str, sample_pages
                 leaves = leaf_blocks(html)
                 labels = [label_by_markup(x) for x in leaves]
                 if any(labels):
-                    features = [path_features(x.path) + text_features(x, i, len(leaves)) for i, x in enumerate(leaves)]
-                    out.append(json.dumps([features[:sample_blocks], labels[:sample_blocks]]))
+                    features = [path_features(x.path) + text_features(x, i, len(leaves))
+                                for i, x in enumerate(leaves[:sample_blocks])]
+                    out.append(json.dumps([features, labels[:sample_blocks]]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["page"])
 
     rows = pages.filter(order <= F.lit(last)).select(F.col(html_col).alias("html")).mapInArrow(run, "page string")

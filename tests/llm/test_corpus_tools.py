@@ -184,6 +184,29 @@ def test_text_behind_marked_sections_is_kept(mark):
     assert html_crf.leaf_blocks(f"<p>a</p>{mark[:-1]}")[0].text == "a"
 
 
+def test_html_features_come_from_all_ancestors(save):
+    def leaf(container):
+        return html_crf.leaf_blocks(f"{container}{'<div>' * 40}<p>Some words, here.</p>")[0]
+    for container, feature, label in (("<article>", "in:article", 1), ("<div class=content>", "is:main", 0),
+                                      ("<article><div id=comments>", "is:boilerplate", 0), ("<main><nav>", "in:nav", 0)):
+        assert feature in html_crf.path_features(leaf(container).path)
+        assert html_crf.label_by_markup(leaf(container)) == label
+    model = html_crf.train(html_crf.generated_sequences(20, 1), rounds=5)
+    page = "<div class=ad><p>x</p></div><div class='ad post'>" + "<div class=post>" * 30 + "<p>y</p></div><p>z"
+    for i, x in enumerate(leaves := html_crf.leaf_blocks(page)):
+        features = html_crf.path_features(x.path) + html_crf.text_features(x, i, len(leaves))
+        assert len(features) == len(set(features))
+        assert math.isclose(model.emission(x, i, len(leaves)), sum(model.weights.get(f, 0.0) for f in features), abs_tol=1e-9)
+    wide = html_crf.leaf_blocks("".join(f"<div class=w{chr(97 + k % 26) * (k // 26 + 1)}>x" for k in range(3000)))
+    assert len(model.main_blocks("<div class=a>x" * 30_000)) >= 0 and len(html_crf.path_features(wide[-1].path)) == 3003
+    deep = "<table><tbody><tr><td>" * 12
+    article = f"<article>{deep}{'<p>Long text of words, and more of it follows here.</p>' * 5}</article>"
+    table = save([(1, "u", f"<body><nav><ul><li><a href=x>Menu</a></ul></nav>{article}<div class=comments>{deep}"
+                   f"{'<p>Long words of readers, and more of it follows here.</p>' * 5}</div></body>")],
+                 "page_id long, url string, html string")
+    assert html_crf.extract_main_text(table).first()["blocks"] == ["Long text of words, and more of it follows here."] * 5
+
+
 def brute_mix(rows):
     size = [len((t or "").encode().split()) for _, t, _ in rows]
     sources = sorted({s for _, _, s in rows if s is not None}) + ([None] if any(s is None for _, _, s in rows) else [])
