@@ -44,7 +44,7 @@ DATE = "2024-01-01T00:00:00Z"
 
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
-HEAD_BYTES = 1 << 16
+FIRST_BYTES = 1 << 16  # read at a candidate before its version line is checked
 COMPRESSION = 4
 
 
@@ -134,10 +134,10 @@ class RangeReader:
 
     def member(self, at: int) -> tuple[bytes, int] | None:
         """Content and end of the member at ``at``, or None if no record starts there."""
-        unpack, parts, have, checked = zlib.decompressobj(31), [], 0, False
+        unpack, parts, checked = zlib.decompressobj(31), [], False
         position = at
         while not unpack.eof:
-            data = self._read(position, HEAD_BYTES if not checked else self.read_bytes)
+            data = self._read(position, FIRST_BYTES if not checked else self.read_bytes)
             if not data:
                 return None
             try:
@@ -145,16 +145,18 @@ class RangeReader:
             except zlib.error:
                 return None
             position += len(data)
-            have += len(parts[-1])
-            if not checked and (have >= HEAD_BYTES or unpack.eof or b"\r\n\r\n" in parts[-1]):
-                head = b"".join(parts)
-                if not head.startswith(VERSION) or b"\r\n\r\n" not in head:
+            if not checked:  # other members are left at once
+                parts = [b"".join(parts)]
+                if not VERSION.startswith(parts[0][:len(VERSION)]):
                     return None
-                checked = True
+                checked = len(parts[0]) >= len(VERSION)
+        content = b"".join(parts)
+        if not checked or b"\r\n\r\n" not in content:  # headers may have any length
+            return None
         end = position - len(unpack.unused_data)
         if end < self.size and self._read(end, len(GZIP_MAGIC)) != GZIP_MAGIC[: self.size - end]:
             return None
-        return b"".join(parts), end
+        return content, end
 
     def __iter__(self) -> Iterator[bytes]:
         at = self.start

@@ -61,6 +61,17 @@ def test_range_reader_ignores_false_members():
         assert [r for r in found if b"inner" != r[-5:] or b"N:" in r] == records
 
 
+def test_warc_headers_of_any_length(save):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    urls = ["data:," + "".join(rng.choices(letters, k=n)) for n in (1_000_000, 100_000, 10)]
+    pages = save([(i, u, f"<p>page {i}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string", files=1)
+    for split in (10_000, 1 << 20):
+        got = warc.round_trip(pages, split_bytes=split).collect()
+        assert sorted((r["uri"], bytes(r["payload"]).decode()) for r in got) == sorted(
+            (u, f"<p>page {i}</p>") for i, u in enumerate(urls))
+
+
 def test_language_network_gradients():
     rng = np.random.default_rng(0)
     network = langid.ByteNetwork.fresh(["a", "b", "c"], 4, rng)
