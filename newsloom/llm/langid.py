@@ -5,10 +5,11 @@ scripts count). The network reads the bytes of each word in both directions, and
 position with a probability for each language; a document's probabilities are the mean over all
 its positions. Equal words get equal labels, so a task runs the network once per different word.
 
-Training is numpy backpropagation through time on the driver. Its input is bounded: about
+Training is numpy backpropagation through time on the driver. Its input is a sample of rows: about
 ``sample_rows`` labelled rows (those with the smallest hashed ids) are read whole, their words are
-counted per language on the executors, and the ``sample_words`` most frequent (word, language)
-pairs are collected. Targets are the languages' shares of a word, with languages weighted alike.
+counted per language on the executors, and all (word, language) pairs are collected, so every
+language with a word in the sample is learned. Targets are the languages' shares of a word, with
+languages weighted alike.
 
 Defined results: null texts and texts without a letter get ``und`` and score 0; so does every text
 if no labelled row may be learned from; rows whose label is null are not learned from; a null id is
@@ -30,7 +31,7 @@ from newsloom.llm import anchors
 from newsloom.llm.common import ROW, materialise, with_row_id
 
 UNKNOWN = "und"
-SAMPLE_ROWS, SAMPLE_WORDS = 3000, 40_000
+SAMPLE_ROWS = 3000
 HIDDEN, STEPS, BATCH, RATE, SEED = 16, 200, 256, 0.01, 7
 #: Longer words are read in pieces of this many bytes.
 WORD_BYTES = 24
@@ -129,26 +130,38 @@ def train(counts: list[tuple[str, bytes, int]], hidden: int = HIDDEN, steps: int
     network = ByteNetwork.fresh(languages, hidden, rng)
     if len(languages) == 1:
         return network
-    shares: dict[bytes, np.ndarray] = {}
-    totals = {g: 0 for g in languages}
-    for language, word, n in counts:
-        totals[language] += n
-    for language, word, n in counts:
-        shares.setdefault(word, np.zeros(len(languages)))[languages.index(language)] += n / totals[language]
-    by_length: dict[int, list[bytes]] = {}
-    for word in sorted(shares):
-        by_length.setdefault(len(word), []).append(word)
-    lengths = sorted(by_length)
-    letters = {k: np.array([list(w) for w in by_length[k]], dtype=np.int64).T for k in lengths}
-    share = {k: np.array([shares[w] for w in by_length[k]]) for k in lengths}
+    number = {g: i for i, g in enumerate(languages)}
+    totals = np.zeros(len(languages))
+    for language, _, n in counts:
+        totals[number[language]] += n
+    # the pairs by length and word; the shares of word w are those of the pairs first[w] to first[w + 1]
+    pairs = sorted(counts, key=lambda c: (len(c[1]), c[1], c[0]))
+    place = np.array([number[language] for language, _, _ in pairs])
+    value = np.array([n for _, _, n in pairs]) / totals[place]
+    first = [i for i, c in enumerate(pairs) if not i or c[1] != pairs[i - 1][1]]
+    size = np.array([len(pairs[i][1]) for i in first])
+    first = np.array([*first, len(pairs)])
+    lengths = np.unique(size).tolist()
+    begin = {k: int(np.searchsorted(size, k)) for k in lengths}
+    end = {k: int(np.searchsorted(size, k, side="right")) for k in lengths}
+    letters = {k: np.frombuffer(b"".join(pairs[i][1] for i in first[begin[k]:end[k]]), dtype=np.uint8).reshape(-1, k).T
+               for k in lengths}
+    total_share = np.add.reduceat(value, first[:-1])
+
+    def shares(words: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(words), len(languages)))
+        for row, w in enumerate(words):
+            out[row, place[first[w]:first[w + 1]]] = value[first[w]:first[w + 1]]
+        return out
+
     # rare words are taken more often than they occur: there are many, and they generalise
-    weight = {k: np.sqrt(share[k].sum(axis=1)) for k in lengths}
+    weight = {k: np.sqrt(total_share[begin[k]:end[k]]) for k in lengths}
     chance = np.array([weight[k].sum() * k for k in lengths])
     moments = {name: (np.zeros_like(w), np.zeros_like(w)) for name, w in network.weights.items()}
     for step in range(1, steps + 1):
         k = lengths[rng.choice(len(lengths), p=chance / chance.sum())]
-        picked = rng.choice(len(by_length[k]), size=batch, p=weight[k] / weight[k].sum())
-        target = share[k][picked]
+        picked = rng.choice(len(weight[k]), size=batch, p=weight[k] / weight[k].sum())
+        target = shares(begin[k] + picked)
         grads = network.gradients(letters[k][:, picked], target / target.sum(axis=1, keepdims=True))
         pace = rate * min(1.0, 3 * (1 - step / (steps + 1)))
         for name, g in grads.items():
@@ -199,7 +212,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS, **options) -> ByteNetwork | None:
+        sample_rows: int = SAMPLE_ROWS, **options) -> ByteNetwork | None:
     order = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     usable = ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()
     last = (docs.filter(usable).select(order.alias("order")).orderBy("order").limit(sample_rows)
@@ -208,8 +221,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     sample = docs.filter(usable & (order <= F.lit(last))).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = word_counts(sample).orderBy(F.desc("n"), "lang", "word").limit(sample_words).collect()
-    return train([(r["lang"], bytes(r["word"]), r["n"]) for r in counts], **options)
+    counts = word_counts(sample).toArrow()
+    return train(list(zip(*(counts.column(c).to_pylist() for c in ("lang", "word", "n")))), **options)
 
 
 class Labeller:

@@ -112,6 +112,19 @@ def test_language_id(spark, docs, empty_docs):
     assert langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_small_languages_are_learned(save):
+    rng = random.Random(8)
+    def text(letters, words):
+        return " ".join("".join(rng.choices(letters, k=5)) for _ in range(words))
+    hot = [(i, (text("abcdefghij", 300) + " ") * 3, "aa") for i in range(400)]  # 60,000 words or so, each three times
+    small = [(1000 + i, "".join(rng.choices("一二三四五六七八九十百千", k=300)), "zh") for i in range(12)]
+    table = save(hot + small, "doc_id long, text string, lang string")
+    network = langid.fit(table)
+    assert network.languages == ["aa", "zh"]
+    got = langid.identify(table, network=network).collect()
+    assert all(r["lang_pred"] == ("zh" if r["id"] >= 1000 else "aa") for r in got)
+
+
 def test_long_words_and_texts_are_read_whole():
     network = langid.train([("a", b"xy", 3), ("b", b"pq", 3)], steps=60)
     whole, _ = langid.Labeller(network).label(["xy " * 700_000 + "pq " * 800_000, "x" * 100, "pq"])
