@@ -46,6 +46,46 @@ COMMON_WORDS = (
     "pepper ginger cookie cheese flower tiger eagle horse london paris berlin madrid england france germany "
     "spain america star moon earth music guitar piano freedom power access account service private public key"
 ).split()
+#: Words of running text that may follow a credential word, and their endings (own list); they rank behind the others.
+PROSE_WORDS = (
+    "able about above absent accept accepted according account across active actual added address after again against all "
+    "allow allowed almost already also always among another any app application approved around ask assigned "
+    "associated attached attempt auth authenticate available back bad base based because become been before being "
+    "below best better between big blank both bound broken browser built but button call called can cannot card care "
+    "case change changed character check checked choice choose chosen clear click client close code come common "
+    "complete complex compromised config configured confirm confirmed connect contain contained control copy "
+    "correct could create created credential current data date day dead decide decrypt default defined delete "
+    "deleted denied depend describe device different digit directly disable disabled display does done down due "
+    "each early easily easy either email empty enable enabled encode encoded encrypt encrypted end enough ensure "
+    "enter entered entire entirely error essential even ever every exact exactly exchange exist expect expected "
+    "expire expired expires explain expose exposed extremely fail failed false far field file final find fine first "
+    "follow following for forget forgot forgotten form format found four free from full generate generated get "
+    "give given going good granted great group guess had hand hard has hash hashed have held help here hidden high "
+    "his hold how however identical identify ignore ignored immediately implement important impossible include "
+    "included incorrect indeed individual information inside instead intend interest invalid issue issued its just "
+    "keep kept know known large last later least leaked left length less let letter life like likely limit limited "
+    "line link linked list little local lock locked long longer look lost lower made mail main make managed mandatory "
+    "many match matched may mean meant memory method might missing mobile mode more most move much must name named "
+    "necessary need needed never new next nil none normal not note nothing now null number obtain obtained obvious off "
+    "often old once one only onto open option optional order original other our out outside over own page part pass "
+    "passed people perhaps permanent person phone place plain point possible power present probably problem process "
+    "production protect protected provide provided put quite random rather read ready real really reason receive "
+    "received recommended refresh refused register registered reject rejected related remain remember remove "
+    "removed renewed replace replaced request require required reset respect responsible restricted result return "
+    "returned reused revoke revoked right rotate rotated safe said same save saved say second section secure secured "
+    "security see seem send sensitive sent separate session set several share shared short should show shown side "
+    "sign signed similar simple simply since single site small some something sort special specific specified split "
+    "start state step still stolen stop store stored string strong subject submit submitted such sufficient support "
+    "supposed sure take taken tell temporarily temporary than that their them then there these they thing think this those though "
+    "three through time today together told too transmitted true trust try turn two type typed under undefined unfortunately "
+    "unique unknown unless until update updated upon use used useful usually valid validate validated value various "
+    "verified verify very visible wait want was way weak week well were what when where whether which while who whole "
+    "whose why wide will with within without word work world would write written wrong year yes yet you your "
+    "ability able ably ally ance ated ates ating ation ations ence ency ened ened ers est ful hood ible ical ied ies "
+    "ified ify ing ings ion ions ise ised ish ism ist ity ive ively ize ized less like ling ment ments ness ology ous "
+    "ously sion ted ting tion tions tive ular ward ways wise con dis inter mis non over pre pro sub super trans "
+    "under"
+).split()
 KEYBOARD_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("0134578@$!", "oieastbasi")
 
@@ -55,8 +95,8 @@ _hex = re.compile(HEX)
 _context = re.compile(CONTEXT, re.I | re.A)
 _date = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
                    r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
-_word_cost = {w: math.log2(rank + 2) for rank, w in enumerate(COMMON_WORDS)}
-_longest_word = max(map(len, COMMON_WORDS))
+_word_cost = {w: math.log2(rank + 2) for rank, w in enumerate(dict.fromkeys(COMMON_WORDS + PROSE_WORDS))}
+_longest_word = max(map(len, _word_cost))
 _hex_bytes = bytes(49 if 48 <= b <= 57 or 97 <= b <= 102 else 48 for b in range(256))
 _neighbours = {(a, b) for row in (*KEYBOARD_ROWS, "abcdefghijklmnopqrstuvwxyz") for x, y in zip(row, row[1:])
                for a, b in ((x, y), (y, x))}
@@ -131,11 +171,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guessed_spans(text: str, base: list[tuple[int, int, int]], min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
-    """Values in a credential's context that cost at least ``min_bits`` and that no base span touches.
-
-    A value needs two kinds of characters (letters of one case are one kind): plain words of running
-    text are no secrets, however odd.
-    """
+    """Values in a credential's context that cost at least ``min_bits`` and that no base span touches."""
     low = text.lower()
     if not any(hint in low for hint in CONTEXT_HINTS):
         return []
@@ -144,9 +180,7 @@ def guessed_spans(text: str, base: list[tuple[int, int, int]], min_bits: float =
         start, end = m.span(1)
         value = m[1].rstrip(".!?):]}")
         end = start + len(value)
-        kinds = any(c.islower() for c in value) + any(c.isupper() for c in value) + any(c.isdigit() for c in value)
-        kinds += any(not c.isalnum() for c in value)
-        if kinds < 2 or any(a < end and start < b for a, _, b in base):
+        if any(a < end and start < b for a, _, b in base):
             continue
         if guess_bits(value) >= min_bits:
             found.append((start, 3, end))

@@ -296,6 +296,16 @@ def test_secret_scan(save, empty_docs):
     assert secret_scan.scan_secrets(empty_docs).count() == 0
 
 
+def test_values_with_one_kind_of_character_are_judged_by_their_cost():
+    for text, value in (("pwd: kqzvxwjhtrbnmplkd", "kqzvxwjhtrbnmplkd"), ("bearer 83920174650192837465", "83920174650192837465"),
+                        ("the private key is kqzvxwjhtrbnmplkd.", "kqzvxwjhtrbnmplkd"), ("login: QZVXKWJHTRB", "QZVXKWJHTRB")):
+        assert [text[a:b] for a, _, b in secret_scan.guessed_spans(text, [])] == [value]
+    for text in ("the password is something", "my token is unfortunately expired", "the secret is generated", "login: required",
+                 "the private key is transmitted", "token is invalidated", "the credentials is recommended", "pwd: 19991231",
+                 "the passphrase is temporarily disabled", "pwd: aaaaaaaaaaaa", "bearer 12345678901234"):
+        assert secret_scan.guessed_spans(text, []) == [], text
+
+
 def test_guess_bits_is_the_cheapest_segmentation():
     bits = secret_scan.guess_bits
     assert bits("") == 0
