@@ -330,8 +330,25 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return source.mapInArrow(run, f"{ROW} long, id {id_type}, held_out boolean, lang_pred string, score double")
 
 
-def drop_unidentified(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; all columns are kept as they are."""
-    bad = identify(docs, **options).filter(F.col("lang_pred") == UNKNOWN).select(F.col(ROW).alias("_bad"))
+def without_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``_row`` of the rows whose text is null or has no letter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = pa.array([not has_letter(text) for text in batch.column("text").to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(ROW).filter(bad)], names=[ROW])
+
+    return with_row_id(docs, F.col(text_col).alias("text")).mapInArrow(run, f"{ROW} long")
+
+
+def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                      network: ByteNetwork | None = None, **options) -> DataFrame:
+    """``docs`` without the rows whose language is ``und``; all columns are kept as they are. If there
+    is no labelled row to learn from, the rows whose text is null or has no letter go."""
+    network = network or fit(docs, id_col, text_col, lang_col, **options)
+    if network is None:
+        bad = without_letters(docs, text_col).select(F.col(ROW).alias("_bad"))
+    else:
+        bad = identify(docs, id_col, text_col, lang_col, network).filter(F.col("lang_pred") == UNKNOWN).select(
+            F.col(ROW).alias("_bad"))
     marked = docs.withColumn("_lang_row", F.monotonically_increasing_id())
     return marked.join(materialise(bad, "lang-rejected"), F.col("_lang_row") == F.col("_bad"), "left_anti").drop("_lang_row")

@@ -347,6 +347,13 @@ def test_pipeline_stages(spark, save, docs, tmp_path):
     assert Counter(map(key, got.collect())) == Counter(map(key, current.collect()))
 
 
+def test_first_stage_keeps_clean_documents_without_labels(save):
+    rows = [(i, t, None) for i, t in enumerate(["clean words", "été", "一二", None, "", "12 !!", "clean words"])]
+    table = save(rows, "doc_id long, text string, lang string")
+    got = corpus_pipeline.STAGES[0][1](table.sparkSession, table, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(0, "clean words"), (1, "été"), (2, "一二"), (6, "clean words")]
+
+
 def test_registered_names():
     assert sorted(queries.QUERIES, key=lambda n: int(re.match(r"op(\d+)_", n)[1])) == list(queries.QUERIES)
     assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)
