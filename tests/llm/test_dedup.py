@@ -167,6 +167,22 @@ def test_repeated_strings(docs, empty_docs, options):
     assert suffix_array.remove_strings(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("passages, strings", [({"anchor_limit": 1}, {"anchor_limit": 1}),
+                                               ({"shard_bytes": 256}, {"shard_bytes": 512})])
+def test_all_paths_at_production_widths(docs, passages, strings):
+    rows = texts_of(doc_rows())
+    sequences = [t.encode().split() for _, t in rows]
+    got = suffix_tree.remove_passages(docs, **passages).collect()
+    assert Counter((r["id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == Counter(
+        (i, len(s), int(c.sum()), b" ".join(w for w, x in zip(s, c) if not x).decode())
+        for (i, _), s, c in zip(rows, sequences, brute_cover(sequences, 35)))
+    sequences = [t.encode() for _, t in rows]
+    got = suffix_array.remove_strings(docs, **strings).collect()
+    assert Counter((r["id"], r["n_bytes"], r["n_removed"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in got) == Counter(
+        (i, len(s), int(c.sum()), hashlib.sha256(bytes(b for b, x in zip(s, c) if not x)).hexdigest())
+        for (i, _), s, c in zip(rows, sequences, brute_cover(sequences, 200)))
+
+
 def test_suffix_array_is_sorted_with_true_common_prefixes():
     rng = random.Random(4)
     for _ in range(20):
