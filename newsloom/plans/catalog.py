@@ -498,25 +498,23 @@ def q_kv_export_keys(spark, sf_dir):
 
 from newsloom.streaming import online as ON  # noqa: E402
 
-ONLINE_FILES = 4   # the events of days 1-8, 9-16, 17-24 and 25-31 arrive as one file each
+ONLINE_PARTS = 4   # the events of days 1-8, 9-16, 17-24 and 25-31 arrive as one micro-batch each
 
 
 @query("online_recall")
 def q_online_recall(spark, sf_dir):
-    """ST1-ST6: the click stream, four files of events drained as four ordered micro-batches; each
+    """ST1-ST6: the click stream, four parts of the events drained as four ordered micro-batches; each
     row with the batch that recalled it first."""
     store, ckpt, source = (scratch_path(spark, f"online-{x}") for x in ("store", "ckpt", "events"))
     ON.seed_history(exposure_history(spark, sf_dir), store)
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(ONLINE_FILES - 1))
-    for number in range(ONLINE_FILES):   # written one after the other: the file source goes by time
-        events.where(part == number).coalesce(1).write.parquet(f"{source}/file-{number}")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(source))
-    messages = ON.click_messages(S.user_action_from(stream, S.article_channel(spark, sf_dir)))
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(ONLINE_PARTS - 1))
     sim = write_once(similar(spark, sf_dir), "article-similar")   # K1, read by every batch
-    q = ON.start_online_recall(messages, sim, store, ckpt, available_now=True)
-    q.awaitTermination()
+    for number in range(ONLINE_PARTS):   # as many files as its size asks for; all that is there is one batch
+        events.where(part == number).hint("rebalance").write.parquet(f"{source}/part-{number}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(source)
+        messages = ON.click_messages(S.user_action_from(stream, S.article_channel(spark, sf_dir)))
+        ON.start_online_recall(messages, sim, store, ckpt, available_now=True).awaitTermination()
     return ON.read_recall(spark, store).select("user_id", "channel_id", "article_id", "batch")
 
 

@@ -89,3 +89,26 @@ def test_hot_articles_topk(spark):
     got = [(r.channel_id, r.article_id, r.rank) for r in ON.hot_articles(clicks, k=2).orderBy("channel_id", "rank")
            .collect()]
     assert got == [(1, 8, 1), (1, 5, 2), (2, 7, 1)]
+
+
+def test_online_recall_query_keeps_a_part_of_many_files_in_one_batch(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from newsloom.plans import catalog, oracle
+    from tools.compare import TABLES, frame_hash
+    sf_dir = "/root/testdata/sf0.001"
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = catalog.q_online_recall(spark, sf_dir)
+        got = frame_hash(found.columns, list(map(tuple, found.collect())))
+    finally:
+        spark.conf.set(name, before)
+    assert all(len(list(p.glob("*.parquet"))) > 1 for p in (tmp_path / "online-events").iterdir())
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    wanted = con.execute(oracle.ORACLE["online_recall"])
+    assert got == frame_hash([d[0] for d in wanted.description], wanted.fetchall())
