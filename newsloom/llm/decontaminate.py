@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
-from newsloom.llm.common import ROW, materialise, with_row_id
+from newsloom.llm.common import ROW, drop_rows, materialise, stable, with_row_id
 from newsloom.llm.repeats import covered
 
 WINDOW, SHINGLE = 13, 3
@@ -267,7 +267,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row per document: ``_row``, ``id``, ``n_words``, ``n_hit``, ``items`` (ids with a window in the
     document), ``hits`` (item, first word, end) and ``contaminated``."""
-    source = with_row_id(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = with_row_id(stable(docs), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     windows = materialise(item_windows(items, item_id_col, item_text_col, window), "bench-windows")
     blocks = max(1, -(-windows.count() // block_windows))
     windows = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
@@ -289,6 +289,5 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated rows; all columns are kept as they are."""
-    bad = contamination(docs, items, **options).filter("contaminated").select(F.col(ROW).alias("_bad"))
-    marked = docs.withColumn("_bench_row", F.monotonically_increasing_id())
-    return marked.join(materialise(bad, "bench-bad"), F.col("_bench_row") == F.col("_bad"), "left_anti").drop("_bench_row")
+    docs = stable(docs)
+    return drop_rows(docs, contamination(docs, items, **options).filter("contaminated"), "bench-bad")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ROW, ascii_lower, materialise, with_row_id
+from newsloom.llm.common import ROW, ascii_lower, drop_rows, materialise, stable, with_row_id
 
 PREFIX_CHARS = 256
 
@@ -33,6 +33,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Groups of copies are counted with partial aggregates and joined back from written tables,
     so a group that holds a third of all rows is split like any skewed join side.
     """
+    docs = stable(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     length, head = F.octet_length(text), F.xxhash64(ascii_lower(F.substring(text, 1, prefix)))
     small = materialise(with_row_id(docs, F.col(id_col).alias("id"), length.alias("length"), head.alias("head")),
@@ -65,7 +66,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that exact dedup drops; all columns are kept as they are."""
-    dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(ROW).alias("_dropped"))
-    marked = docs.withColumn("_dedup_row", F.monotonically_increasing_id())
-    return marked.join(materialise(dropped, "exact-dropped"), F.col("_dedup_row") == F.col("_dropped"),
-                       "left_anti").drop("_dedup_row")
+    docs = stable(docs)
+    return drop_rows(docs, exact_groups(docs, id_col, text_col).filter(~F.col("kept")), "exact-dropped")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
-from newsloom.llm.common import ROW, materialise, with_row_id
+from newsloom.llm.common import ROW, drop_rows, materialise, stable, with_all_columns, with_row_id
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 3000
@@ -342,13 +342,21 @@ def without_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                       network: ByteNetwork | None = None, **options) -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; all columns are kept as they are. If there
-    is no labelled row to learn from, the rows whose text is null or has no letter go."""
+    """``docs`` without the rows whose language is ``und``; a null ``lang_col`` gets the predicted
+    language, all other columns are kept as they are. If there is no labelled row to learn from, the
+    rows whose text is null or has no letter go."""
+    docs = stable(docs)
     network = network or fit(docs, id_col, text_col, lang_col, **options)
     if network is None:
-        bad = without_letters(docs, text_col).select(F.col(ROW).alias("_bad"))
-    else:
-        bad = identify(docs, id_col, text_col, lang_col, network).filter(F.col("lang_pred") == UNKNOWN).select(
-            F.col(ROW).alias("_bad"))
-    marked = docs.withColumn("_lang_row", F.monotonically_increasing_id())
-    return marked.join(materialise(bad, "lang-rejected"), F.col("_lang_row") == F.col("_bad"), "left_anti").drop("_lang_row")
+        return drop_rows(docs, without_letters(docs, text_col), "lang-rejected")
+    told = identify(docs, id_col, text_col, lang_col, network).select(ROW, "lang_pred")
+    told = materialise(told, "lang-told")
+    unlabelled = with_row_id(docs, F.col(lang_col).isNull().alias("unlabelled")).filter("unlabelled").select(ROW)
+    # the rows that go or get a label are few next to those that are kept as they are
+    verdicts = told.join(unlabelled, ROW, "left_semi").union(told.filter(F.col("lang_pred") == UNKNOWN)).distinct()
+    rows, columns = with_all_columns(docs)
+    stated = dict(zip(docs.columns, columns))[lang_col]
+    filled = F.coalesce(stated, F.col("lang_pred").cast(docs.schema[lang_col].dataType)).alias(lang_col)
+    rows = rows.join(materialise(verdicts, "lang-verdicts"), ROW, "left").filter(
+        F.col("lang_pred").isNull() | (F.col("lang_pred") != UNKNOWN))
+    return rows.select(*[filled if c == lang_col else column for c, column in zip(docs.columns, columns)])

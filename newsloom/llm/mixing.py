@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ROW, materialise, with_row_id, word_count
+from newsloom.llm.common import ROW, materialise, stable, with_all_columns, with_row_id, word_count
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -95,13 +95,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, ``mix_epoch`` (from 1) and ``mix_words``, a row for
-    every time a document is taken; the last time may ask for fewer words than it has."""
-    taken = mix_sources(docs, **options).filter("taken > 0").select(
-        F.col(ROW).alias("_taken_row"), F.col("size").alias("_size"), "taken")
-    marked = docs.withColumn("_mix_row", F.monotonically_increasing_id())
+    every time a document is taken; the last time may ask for fewer words than it has. Columns of
+    these two names that ``docs`` has already (an earlier mix) are replaced."""
+    docs = stable(docs)
+    taken = mix_sources(docs, **options).filter("taken > 0").select(ROW, "size", "taken")
+    rows, columns = with_all_columns(docs.drop("mix_epoch", "mix_words"))
     # a row for nearly every document: never a broadcast, at any size
-    joined = marked.join(materialise(taken, "mix-taken").hint("merge"), F.col("_mix_row") == F.col("_taken_row"))
-    epoch = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("_size")).cast("int")))
-    words = F.least(F.col("_size"), F.col("taken") - (F.col("mix_epoch") - 1) * F.col("_size"))
-    return joined.select(*[marked[c] for c in docs.columns], "taken", "_size", epoch.alias("mix_epoch")).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "mix_epoch", words.cast("long").alias("mix_words"))
+    joined = rows.join(materialise(taken, "mix-taken").hint("merge"), ROW)
+    epoch = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
+    return joined.withColumn("epoch", epoch).select(
+        *columns, F.col("epoch").alias("mix_epoch"), words.cast("long").alias("mix_words"))

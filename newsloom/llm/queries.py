@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import oracle
-from newsloom.llm.common import ROW, read_table, with_row_id
+from newsloom.llm.common import ROW, read_table, stable, with_row_id
 from newsloom.llm.decontaminate import contamination
 from newsloom.llm.exact_dedup import exact_groups, text_digest
 from newsloom.llm.html_crf import extract_main_text
@@ -45,7 +45,7 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = stable(read_table(spark, sf_dir, "documents"))
     digests = with_row_id(docs, text_digest(F.col("text")).alias("text_sha256"))
     return exact_groups(docs).join(digests, ROW).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")

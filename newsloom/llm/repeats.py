@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
-from newsloom.llm.common import ROW, materialise, release, with_row_id
+from newsloom.llm.common import ROW, materialise, release, stable, with_row_id
 
 #: Items put together for one pass of numpy; longer documents are cut into overlapping pieces.
 PIECE_ITEMS = {"byte": 1 << 20, "word": 1 << 18}
@@ -239,6 +239,7 @@ def repeated_spans(docs: DataFrame, solver: Solver, unit: str, width: int, gram:
     """``_row``, ``spans``: for every document with a repeated window, the item ranges [first, end)
     that its repeated windows cover (array of structs; they may overlap)."""
     spark = docs.sparkSession
+    docs = stable(docs)
     rows = materialise(context_rows(docs, text_col, unit, width, gram), "repeat-contexts")
     shared = materialise(rows.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeat-anchors")
     rows = materialise(rows.join(shared, "anchor"), "repeat-shared")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import golay
-from newsloom.llm.common import ROW, materialise, release, with_row_id
+from newsloom.llm.common import ROW, drop_rows, materialise, release, stable, with_row_id
 from newsloom.llm.components import connected_components
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
@@ -225,11 +225,9 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id (of equal ids, the first in the
     input); all columns are kept as they are."""
+    docs = stable(docs)
     found = materialise(simhash_classes(docs, id_col, text_col, **options), "simhash-members")
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", ROW)).alias("best"))
     kept = materialise(best.select(F.col(f"best.{ROW}").alias(ROW)), "simhash-kept")
     # the rows that go are far fewer than those that stay
-    dropped = found.join(kept, ROW, "left_anti").select(F.col(ROW).alias("_dropped"))
-    marked = docs.withColumn("_near_row", F.monotonically_increasing_id())
-    return marked.join(materialise(dropped, "simhash-dropped"), F.col("_near_row") == F.col("_dropped"),
-                       "left_anti").drop("_near_row")
+    return drop_rows(docs, found.join(kept, ROW, "left_anti"), "simhash-dropped")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ROW, with_row_id
+from newsloom.llm.common import ROW, stable, with_row_id
 from newsloom.llm.repeats import SHARD_BYTES, covered, repeated_spans
 
 WIDTH, GRAM = 200, 32
@@ -206,6 +206,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", width: int = WIDTH
 def remove_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: ``id``, ``n_bytes``, ``n_removed``, ``kept`` (the remaining bytes),
     ``spans`` (maximal removed byte ranges)."""
+    docs = stable(docs)
     spans = repeated_strings(docs, text_col, **options)
     source = with_row_id(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()

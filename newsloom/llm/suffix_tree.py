@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
-from newsloom.llm.common import ROW, with_row_id
+from newsloom.llm.common import ROW, stable, with_row_id
 from newsloom.llm.repeats import SHARD_BYTES, Items, covered, repeated_spans
 
 WINDOW_WORDS, GRAM_WORDS = 35, 8
@@ -94,6 +94,7 @@ def repeated_passages(docs: DataFrame, text_col: str = "text", window: int = WIN
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: ``id``, ``n_words``, ``n_removed``, ``kept`` (the remaining words joined by
     one space), ``spans`` (removed word ranges, merged)."""
+    docs = stable(docs)
     spans = repeated_passages(docs, text_col, **options)
     source = with_row_id(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ROW, materialise, with_row_id
+from newsloom.llm.common import ROW, materialise, stable, with_row_id
 from newsloom.session import scratch_path
 
 #: Fixed values of the formats.
@@ -79,7 +79,7 @@ def encode_record(kind: str, own: str, refers_to: str | None, url: str | None, d
 def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int) -> DataFrame:
     """The rows to write: payload, digest, and for revisits the id and row of their response."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = with_row_id(pages, F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
+    rows = with_row_id(stable(pages), F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                        payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("length", F.octet_length("payload").cast("long"))
     copies = rows.filter(F.col("length") >= min_bytes).groupBy("digest", "length").agg(
