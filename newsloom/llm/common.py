@@ -108,6 +108,26 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def global_ranks(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``rank`` (1, 2, 3, ...) in ``order``, which must be total.
+
+    A range sort deals the rows into ordered partitions; each numbers its own rows, and prefix sums
+    over the partitions' sizes (one number a partition) give their offsets.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # partition number, then place in the partition
+    dealt = materialise(dealt.withColumn("_place", place), name)
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = sorted(dealt.groupBy(part.alias("part")).count().collect())  # one row a partition
+    bases, total = [], 0
+    for number, size in sizes:
+        bases += [F.lit(number), F.lit(total)]
+        total += size
+    base = F.element_at(F.create_map(*bases), part) if bases else F.lit(0)
+    return dealt.withColumn("rank", (base + inside + 1).cast("long")).drop("_place")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
     gc.collect()

@@ -18,8 +18,11 @@ from newsloom.llm.exact_dedup import exact_groups, text_digest
 from newsloom.llm.html_crf import extract_main_text
 from newsloom.llm.langid import identify
 from newsloom.llm.mixing import mix_sources
+from newsloom.llm.quality import score_quality
+from newsloom.llm.resample import resample
 from newsloom.llm.secret_scan import scan_secrets
 from newsloom.llm.simhash import simhash_classes
+from newsloom.llm.spelling import variant_groups
 from newsloom.llm.suffix_array import remove_strings
 from newsloom.llm.suffix_tree import remove_passages
 from newsloom.llm.warc import round_trip
@@ -100,6 +103,20 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("found")).alias("spans"))
 
 
+def importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
+        F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash,
     "op2_warc": warc,
@@ -111,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": mix,
     "op9_suffix_array": suffix_array,
     "op10_secret_scan": secrets,
+    "op11_importance_resample": importance_resample,
+    "op12_quality_classifier": quality,
+    "op13_spelling_variants": spelling,
 }
 
 ORACLE: dict[str, str] = {
