@@ -248,6 +248,7 @@ def q_user_topic_weight(spark, sf_dir):
 # ------------------------------------------------------------------ vectors and similarity
 
 from newsloom.operators import similarity as SIM  # noqa: E402
+from newsloom.operators import tiles as TL  # noqa: E402
 from newsloom.operators import vectors as VEC  # noqa: E402
 
 EMBED_DIM = 64
@@ -276,6 +277,51 @@ def q_similar_lsh_recall(spark, sf_dir):
     return SIM.recall_against_exact(S.article_vector(spark, sf_dir), similar(spark, sf_dir))
 
 
+@query("similar_tiled_top10")
+def q_similar_tiled_top10(spark, sf_dir):
+    """J12 exactly: the true lists of the query set by tiles; what cannot matter is skipped."""
+    v = S.article_vector(spark, sf_dir)
+    asked = v.where(F.col("article_id") % SIM.QUERY_STEP == 0)
+    s = TL.similar_lists(v, SIM.TOP_K, SIM.THRESHOLD, of=asked, dim=EMBED_DIM)
+    return s.select("article_id", "channel_id", "similar_id", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query("similar_hourly_top10")
+def q_similar_hourly_top10(spark, sf_dir):
+    """The lists of all articles after a full run over most of them and two hourly runs, the
+    second of which also replaces some vectors. Every list is the true one of the end."""
+    v = S.article_vector(spark, sf_dir)
+    hour = F.when(F.col("article_id") % 10 == 3, 1).when(F.col("article_id") % 10 == 7, 2).otherwise(0)
+    lists = None
+    for now in range(3):
+        there = v.where(hour <= now)
+        if now < 2:   # until the last hour some articles have another vector
+            early = F.when(F.col("article_id") % 20 == 1, F.reverse("articleVector")).otherwise(F.col("articleVector"))
+            there = there.withColumn("articleVector", early)
+        if lists is None:
+            lists = TL.similar_lists(there, SIM.TOP_K, SIM.THRESHOLD, dim=EMBED_DIM)
+        else:
+            arrived = v.where((hour == now) | ((F.col("article_id") % 20 == 1) & F.lit(now == 2)))
+            changed, replaced = TL.updated_lists(lists, there, arrived, SIM.TOP_K, SIM.THRESHOLD, dim=EMBED_DIM)
+            lists = TL.replace_lists(lists, changed, replaced)
+        lists = write_once(lists, f"similar-hour-{now}")
+    return lists.select("article_id", "channel_id", "similar_id", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query("vector_recall_top10")
+def q_vector_recall_top10(spark, sf_dir):
+    """Recall by inner product: for every user the articles whose vectors have the largest product with
+    the mean vector of the articles clicked."""
+    v = S.article_vector(spark, sf_dir)
+    clicked = clicked_articles(spark, sf_dir).select("user_id", "article_id").distinct()
+    means = VEC.mean_vector(clicked.join(v, "article_id"), ["user_id"], "articleVector", "vec")
+    users = means.select(F.col("user_id").alias("id"), F.lit(0).alias("group_id"), "vec")
+    items = v.select(F.col("article_id").alias("id"), F.lit(0).alias("group_id"), F.col("articleVector").alias("vec"))
+    found, _ = TL.best_partners(users, items, 10, TL.INNER, EMBED_DIM)
+    return found.select(F.col("id").alias("user_id"), F.col("partner").alias("article_id"),
+                        F.round("value", 6).alias("score"), "rank")
+
+
 @query("channel_centroid")
 def q_channel_centroid(spark, sf_dir):
     m = VEC.mean_vector(S.article_vector(spark, sf_dir), ["channel_id"], "articleVector", "centroid")

@@ -17,6 +17,7 @@ from newsloom.operators import behavior as BH
 from newsloom.operators import features as FT
 from newsloom.operators import recall as RC
 from newsloom.operators import similarity as SIM
+from newsloom.operators import tiles as TL
 from newsloom.operators import vectors as VEC
 from newsloom.operators.topk import latest_by_key
 from newsloom.functions import text as T
@@ -66,8 +67,9 @@ def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool
 
     The full run builds everything and saves the word-vector model. ``incremental`` takes the
     articles of the last full hour (S8): the saved vocabulary and model are reused, topics
-    look at the keyword tables of all runs, and the new articles are joined with all
-    vectors (new x all). An hour without articles writes an empty T8 run and stops (P10).
+    look at the keyword tables of all runs. The lists of the new articles are searched among all
+    articles, and older articles' lists that a new article enters or leaves are written
+    again, so the lists in force are those of a full run. An hour without articles writes an empty T8 run and stops (P10).
     """
     run, spark = _run_id(as_of), inp.article_basic.sparkSession
     basic = A.last_hour(inp.article_basic, as_of, status=APPROVED) if incremental \
@@ -99,9 +101,13 @@ def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool
     if incremental:
         known = latest_by_key(spark.read.parquet(vec_path).withColumn("run", F.col("run").cast("string")),
                               ["article_id"], ["run"]).drop("run")
-        sim = SIM.similar_top_k(known, of=vectors)
+        lists = write_once(K.read_similar(spark, f"{out}/article_similar", before=run), "similar-before")
+        changed, replaced = TL.updated_lists(lists, known, vectors, SIM.TOP_K, SIM.THRESHOLD)
+        changed = write_once(changed, "similar-changed")
+        emptied = replaced.join(changed, "article_id", "left_anti")
+        sim = changed.unionByName(emptied, allowMissingColumns=True)
     else:
-        sim = SIM.similar_top_k(vectors)
+        sim = TL.similar_lists(vectors, SIM.TOP_K, SIM.THRESHOLD)
     K.write_similar(sim, f"{out}/article_similar", run)
     return {"run": run}
 

@@ -326,6 +326,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round(distan
       FROM p WHERE distance < 2.0) WHERE rn <= 10
 """
 
+ORACLE["similar_tiled_top10"] = ORACLE["similar_exact_top10"]
+
+ORACLE["similar_hourly_top10"] = ORACLE["similar_exact_top10"].replace(" WHERE a.article_id % 50 = 0", "")
+
+ORACLE["vector_recall_top10"] = _with(BEHAVIOR_CTES) + """,
+v AS (SELECT vec_id AS article_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+parts AS (SELECT user_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS pos
+          FROM (SELECT DISTINCT user_id, article_id FROM basic WHERE clicked) JOIN v USING (article_id)),
+means AS (SELECT user_id, list(m ORDER BY pos) AS u FROM (SELECT user_id, pos, avg(x) AS m FROM parts GROUP BY ALL) GROUP BY 1),
+p AS (SELECT user_id, article_id, list_inner_product(u, vec) AS score FROM means, v)
+SELECT user_id, article_id, round(score, 6) AS score, CAST(rn AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, article_id) AS rn FROM p)
+WHERE rn <= 10
+"""
+
 ORACLE["channel_centroid"] = """
 WITH e AS (SELECT CAST(label + 1 AS INTEGER) AS channel_id, unnest(CAST(embedding AS DOUBLE[])) AS x,
                   CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos FROM embeddings)

@@ -41,10 +41,23 @@ def replace_table(df: DataFrame, path: str, version: str) -> DataFrame:
 
 def write_similar(similar: DataFrame, path: str, run: str) -> None:
     """K-S3: (article_id, similar_id, distance rounded to 4 places), self pairs removed,
-    partitioned by channel and run."""
-    out = similar.where(F.col("article_id") != F.col("similar_id")) \
-        .select("channel_id", "article_id", "similar_id", F.round("distance", 4).alias("distance"), "rank")
+    partitioned by channel and run. ``exact_distance`` is kept for the next update of the lists."""
+    out = similar.where(~F.col("article_id").eqNullSafe(F.col("similar_id"))) \
+        .select("channel_id", "article_id", "similar_id", F.round("distance", 4).alias("distance"), "rank",
+                F.col("distance").alias("exact_distance"))
     if out.isEmpty():  # a partitioned write of no rows would leave no file to read the schema from
         out.write.mode("overwrite").parquet(f"{path}/run={run}")
     else:
         out.write.mode("overwrite").partitionBy("channel_id").parquet(f"{path}/run={run}")
+
+
+def read_similar(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
+    """The lists in force: of every article those of its newest run (earlier than ``before``). A run
+    names an article whose list became empty by a row without ``similar_id``."""
+    rows = spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
+    if before is not None:
+        rows = rows.where(F.col("run") < before)
+    newest = rows.groupBy("article_id").agg(F.max("run").alias("run"))
+    kept = rows.join(newest, ["article_id", "run"], "left_semi").where(F.col("similar_id").isNotNull())
+    return kept.select("article_id", F.col("channel_id").cast("int").alias("channel_id"), "similar_id",
+                       F.col("exact_distance").alias("distance"), "rank")
