@@ -139,4 +139,6 @@ ORACLE: dict[str, str] = {
     "op5_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op6_decontamination": oracle.DECONTAMINATION,
     "op8_mix_sources": oracle.MIXING,
+    "op11_importance_resample": oracle.RESAMPLE,
+    "op13_spelling_variants": oracle.SPELLING,
 }
