@@ -4,7 +4,9 @@ Three patterns give the base spans (assignments to credential names, access key
 strings). Beyond them, values that follow a credential word are judged by how many guesses they
 would take: a dynamic programme over the value finds the cheapest segmentation into dictionary
 words, dates, repeats, keyboard walks and brute-force spans, in bits. Values that cost at least
-``min_bits`` are reported as spans of kind ``guess``; base spans always stay.
+``min_bits`` are reported as spans of kind ``guess``, also where a base span covers them; base spans
+always stay. The dictionary is a short list of common passwords and words, and behind it the most
+frequent words of the corpus itself (``dictionary_words`` of them travel to the tasks).
 
 Defined results: a null or empty text has no span; offsets count code points, ends are exclusive;
 repeated rows get the same answer each; an empty table gives an empty result. Columns other than
@@ -15,13 +17,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ROW, with_row_id
+from newsloom.llm.common import ROW, stable, with_row_id
 
 # The base patterns, their least lengths, and the kinds in order.
 KINDS = ("assign", "access", "hex", "guess")
@@ -93,10 +96,17 @@ _assign = re.compile(ASSIGN, re.I | re.A)
 _access = re.compile(ACCESS)
 _hex = re.compile(HEX)
 _context = re.compile(CONTEXT, re.I | re.A)
-_date = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
-                   r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
-_word_cost = {w: math.log2(rank + 2) for rank, w in enumerate(dict.fromkeys(COMMON_WORDS + PROSE_WORDS))}
-_longest_word = max(map(len, _word_cost))
+#: Patterns of dates and how many there are of each kind.
+_dates = [(re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])", re.A), 36525),
+          (re.compile(r"(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d", re.A), 36525),
+          (re.compile(r"(?:19|20)\d\d", re.A), 100)]
+_learnable = re.compile("[a-z]{3,24}")
+#: Words learned from the corpus, and words a task holds before it hands their counts on.
+LEARNED_WORDS, HELD_WORDS = 20_000, 200_000
+#: Rarer words are not learned: a leaked value and its copies are no word.
+LEARNED_COUNT = 50
+LONGEST_UNIT = 4  # characters of a repeated unit
+WALK_STARTS = 47 * 2
 _hex_bytes = bytes(49 if 48 <= b <= 57 or 97 <= b <= 102 else 48 for b in range(256))
 _neighbours = {(a, b) for row in (*KEYBOARD_ROWS, "abcdefghijklmnopqrstuvwxyz") for x, y in zip(row, row[1:])
                for a, b in ((x, y), (y, x))}
@@ -110,50 +120,111 @@ def _character_bits(c: str) -> float:
     return math.log2(33) if c.isascii() else math.log2(1000)
 
 
-def guess_bits(value: str) -> float:
-    """Bits of the cheapest segmentation; each segment costs one bit for its kind.
+class Dictionary:
+    """Words and their cost in bits, by rank; words learned from a corpus rank behind the lists."""
 
-    best[j] is the least cost of value[:j]. Word and date segments are short; repeats and walks
-    extend run by run, so the work is linear in the length.
+    def __init__(self, learned: list[str] = ()):
+        ranked = dict.fromkeys((*COMMON_WORDS, *PROSE_WORDS, *learned))
+        self.cost = {w: math.log2(rank + 2) for rank, w in enumerate(ranked)}
+        self.longest = max(map(len, self.cost))
+
+
+PLAIN_DICTIONARY = Dictionary()
+
+
+class Starts:
+    """Places where a segment of growing length may have begun, each with its cost so far.
+
+    A segment's cost grows with the logarithm of its length. If an earlier place is as cheap as a later
+    one at some length, it stays so for all longer ones: the later place is dropped. If it is no cheaper
+    to start with, it never is: the earlier place is dropped. So few are held.
+    """
+
+    def __init__(self):
+        self.held: list[tuple[int, float]] = []
+
+    def cheapest(self, end: int, shortest: int, unit: int) -> float:
+        """Least cost of a segment that ends at ``end`` and has ``shortest`` characters at least."""
+        least, kept = math.inf, []
+        for at, cost in self.held:
+            if end - at < shortest:
+                kept.append((at, cost))
+                continue
+            here = cost + math.log2((end - at) // unit)
+            if here < least:
+                while kept and kept[-1][1] >= cost:
+                    kept.pop()
+                least = here
+                kept.append((at, cost))
+        self.held = kept
+        return least
+
+
+def guess_bits(value: str, words: Dictionary = PLAIN_DICTIONARY) -> float:
+    """Bits of the cheapest segmentation, over all segmentations. Brute force costs the bits of each
+    character; every other segment one bit for its kind and:
+
+    - a word (of three letters or more) the logarithm of its rank, one bit more if it has capitals, two
+      if look-alike characters are read as letters;
+    - a date the logarithm of the number of dates;
+    - a unit of one to four characters said twice or more: its characters, and the logarithm of the
+      number of times;
+    - a walk over three or more neighbouring keys: its first key and direction, the logarithm of its
+      length, and a bit for each turn.
+
+    best[j] is the least cost of value[:j]. Repeats and walks are extended from all their starts at once,
+    so the work is linear in the length but for the words.
     """
     n = len(value)
     lower = value.lower()
+    if len(lower) != n:  # some capitals have longer small forms
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = lower.translate(LEET)
-    best = [0.0] + [math.inf] * n
     brute = [_character_bits(c) for c in value]
-    for i in range(n):
-        here = best[i]
-        # brute force: one character more
-        if here + brute[i] < best[i + 1]:
-            best[i + 1] = here + brute[i]
-        # words, also with capitals (a bit) and look-alike characters (two bits)
-        for j in range(i + 3, min(n, i + _longest_word) + 1):
-            for text, extra in ((lower[i:j], 0.0), (plain[i:j], 2.0)):
-                if text in _word_cost:
-                    cost = here + 1 + _word_cost[text] + extra + (value[i:j] != lower[i:j])
-                    best[j] = min(best[j], cost)
-        found = _date.match(value, i)
-        if found:
-            days = 100 if found.end() - i == 4 else 36525
-            best[found.end()] = min(best[found.end()], here + 1 + math.log2(days))
-        # repeats of a unit of one to four characters
-        for unit in range(1, 5):
-            if value[i:i + unit] != value[i + unit:i + 2 * unit] or len(value[i + unit:i + 2 * unit]) < unit:
-                continue
-            if i >= unit and value[i - unit:i] == value[i:i + unit]:
-                continue  # the run started earlier
-            j = i + unit
-            while value[j:j + unit] == value[i:i + unit]:
-                j += unit
-                best[j] = min(best[j], here + 1 + sum(brute[i:i + unit]) + math.log2((j - i) // unit))
-        # walks over neighbouring keys
-        j, turns = i + 1, 0
-        if not (i and (lower[i - 1], lower[i]) in _neighbours):
-            while j < n and (lower[j - 1], lower[j]) in _neighbours:
-                j += 1
-                turns += j - i > 2 and lower[j - 1] == lower[j - 3]
-                if j - i >= 3:
-                    best[j] = min(best[j], here + 1 + math.log2(47 * 2) + math.log2(j - i) + turns)
+    upto = [0.0]
+    for b in brute:
+        upto.append(upto[-1] + b)
+    best = [0.0] + [math.inf] * n
+    run = [0] * (LONGEST_UNIT + 1)  # how many characters before here equal those one unit earlier
+    repeats = [[Starts() for _ in range(unit)] for unit in range(LONGEST_UNIT + 1)]
+    walks, cost = Starts(), words.cost
+    near = [False] + [(lower[p - 1], lower[p]) in _neighbours for p in range(1, n)]
+    turned = [0]  # turns at keys before each place: key p goes back to key p - 2
+    for p in range(n):
+        turned.append(turned[-1] + (p > 1 and near[p] and near[p - 1] and lower[p] == lower[p - 2]))
+    for j in range(n + 1):
+        if j:
+            if best[j - 1] + brute[j - 1] < best[j]:
+                best[j] = best[j - 1] + brute[j - 1]
+            for unit in range(1, LONGEST_UNIT + 1):
+                same = j > unit and value[j - 1] == value[j - 1 - unit]
+                run[unit] = run[unit] + 1 if same else 0
+                starts = repeats[unit][j % unit]
+                if run[unit] >= unit:  # starts before the run are out of its reach
+                    first = j - run[unit] - unit
+                    if starts.held and starts.held[0][0] < first:
+                        starts.held = [s for s in starts.held if s[0] >= first]
+                    found = starts.cheapest(j, 2 * unit, unit) + 1 + upto[j] - upto[j - unit]
+                    if found < best[j]:
+                        best[j] = found
+            if not near[j - 1]:  # the walk begins anew at the last key
+                walks.held = [s for s in walks.held if s[0] >= j - 1]
+            else:
+                found = walks.cheapest(j, 3, 1) + turned[j] + 1 + math.log2(WALK_STARTS)
+                if found < best[j]:
+                    best[j] = found
+        here = best[j]
+        for k in range(j + 3, min(n, j + words.longest) + 1):
+            for text, extra in ((lower[j:k], 0.0), (plain[j:k], 2.0)):
+                if text in cost:
+                    best[k] = min(best[k], here + 1 + cost[text] + extra + (value[j:k] != lower[j:k]))
+        for pattern, days in _dates:
+            found = pattern.match(value, j)
+            if found:
+                best[found.end()] = min(best[found.end()], here + 1 + math.log2(days))
+        for unit in range(1, LONGEST_UNIT + 1):
+            repeats[unit][j % unit].held.append((j, here))
+        walks.held.append((j, here - turned[min(j + 2, n)]))  # turns count from the third key on
     return best[n]
 
 
@@ -170,26 +241,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guessed_spans(text: str, base: list[tuple[int, int, int]], min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
-    """Values in a credential's context that cost at least ``min_bits`` and that no base span touches."""
+def guessed_spans(text: str, min_bits: float = MIN_BITS, words: Dictionary = PLAIN_DICTIONARY) -> list[tuple[int, int, int]]:
+    """Values in a credential's context that cost at least ``min_bits``, whether or not a base span
+    covers them too."""
     low = text.lower()
     if not any(hint in low for hint in CONTEXT_HINTS):
         return []
     found = []
     for m in _context.finditer(text):
-        start, end = m.span(1)
-        value = m[1].rstrip(".!?):]}")
-        end = start + len(value)
-        if any(a < end and start < b for a, _, b in base):
-            continue
-        if guess_bits(value) >= min_bits:
-            found.append((start, 3, end))
+        start, value = m.start(1), m[1].rstrip(".!?):]}")
+        if guess_bits(value, words) >= min_bits:
+            found.append((start, 3, start + len(value)))
     return found
 
 
+def learned_words(docs: DataFrame, text_col: str = "text", limit: int = LEARNED_WORDS) -> list[str]:
+    """The ``limit`` most frequent words of the corpus (letters a-z, 3 to 24 of them), most frequent
+    first; counted per task before they are shuffled."""
+    def counted(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
+                                          names=["word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                held.update(_learnable.findall((text.as_py() or "").lower()))
+                if len(held) >= HELD_WORDS:
+                    yield counted(held)
+                    held.clear()
+        if held:
+            yield counted(held)
+
+    words = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    words = words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEARNED_COUNT)
+    return [r["word"] for r in words.orderBy(F.col("n").desc(), "word").limit(limit).collect()]  # at most limit words
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_bits: float = MIN_BITS) -> DataFrame:
+                 min_bits: float = MIN_BITS, dictionary_words: int = LEARNED_WORDS) -> DataFrame:
     """One row per input row: ``_row``, ``id``, ``found`` (array of kind, start, end; by start, then kind)."""
+    docs = stable(docs)
+    words = Dictionary(learned_words(docs, text_col, dictionary_words) if dictionary_words else ())
     source = with_row_id(docs, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -198,7 +291,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rows = []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
-                spans = sorted(base + guessed_spans(text or "", base, min_bits))
+                spans = sorted(base + guessed_spans(text or "", min_bits, words))
                 rows.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans])
             yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("id"), pa.array(rows, span)],
                                              names=[ROW, "id", "found"])

@@ -44,7 +44,7 @@ DATE = "2024-01-01T00:00:00Z"
 
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
-FIRST_BYTES = 1 << 16  # read at a candidate before its version line is checked
+FIRST_BYTES = 512  # decoded at a candidate before its version line is checked
 COMPRESSION = 4
 
 
@@ -123,21 +123,47 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
 
 class RangeReader:
-    """Members of one file that start in [start, end)."""
+    """Members of one file that start in [start, end).
+
+    The file is read once, front to back, in blocks of ``read_bytes``; what lies behind the place that is
+    looked at is let go. Only a candidate that turns out to be no record after more than its version line
+    was seen makes the reader go back. Behind a record the next one is taken at once if it starts there.
+    """
 
     def __init__(self, handle, size: int, start: int, end: int, read_bytes: int = READ_BYTES):
         self.handle, self.size, self.start, self.end, self.read_bytes = handle, size, start, min(end, size), read_bytes
-
-    def _read(self, at: int, n: int) -> bytes:
-        self.handle.seek(at)
-        return self.handle.read(min(n, self.size - at)) if at < self.size else b""
+        self.buffer, self.base, self.bytes_read = bytearray(), start, 0
+
+    def _fill(self, end: int) -> None:
+        """Have the bytes up to ``end`` (or the file's end) in the buffer."""
+        while self.base + len(self.buffer) < min(end, self.size):
+            at = self.base + len(self.buffer)
+            self.handle.seek(at)
+            data = self.handle.read(min(self.read_bytes, self.size - at))
+            if not data:
+                raise OSError(f"file ends at {at}, not at {self.size}")
+            self.bytes_read += len(data)
+            self.buffer += data
+
+    def _let_go(self, at: int) -> None:
+        """The bytes before ``at`` are not needed any more; go back if ``at`` was let go already."""
+        if at < self.base or at > self.base + len(self.buffer):
+            self.buffer, self.base = bytearray(), at
+        else:
+            del self.buffer[: at - self.base]
+            self.base = at
+
+    def _peek(self, at: int, n: int) -> bytes:
+        self._fill(at + n)
+        return bytes(self.buffer[at - self.base: at - self.base + n])
 
     def member(self, at: int) -> tuple[bytes, int] | None:
         """Content and end of the member at ``at``, or None if no record starts there."""
         unpack, parts, checked = zlib.decompressobj(31), [], False
         position = at
         while not unpack.eof:
-            data = self._read(position, FIRST_BYTES if not checked else self.read_bytes)
+            data = self._peek(position, FIRST_BYTES) if not checked else self._peek(position, max(
+                1, min(self.read_bytes, self.base + len(self.buffer) - position)))
             if not data:
                 return None
             try:
@@ -150,21 +176,27 @@ class RangeReader:
                 if not VERSION.startswith(parts[0][:len(VERSION)]):
                     return None
                 checked = len(parts[0]) >= len(VERSION)
+            else:
+                self._let_go(position)
         content = b"".join(parts)
         if not checked or b"\r\n\r\n" not in content:  # headers may have any length
             return None
         end = position - len(unpack.unused_data)
-        if end < self.size and self._read(end, len(GZIP_MAGIC)) != GZIP_MAGIC[: self.size - end]:
+        if end < self.base:  # the rest of the last block was let go
+            self.buffer[:0] = unpack.unused_data
+            self.base = end
+        if end < self.size and self._peek(end, len(GZIP_MAGIC)) != GZIP_MAGIC[: self.size - end]:
             return None
         return content, end
 
     def __iter__(self) -> Iterator[bytes]:
         at = self.start
         while at < self.end:
-            window = self._read(at, min(self.read_bytes, self.end - at) + len(GZIP_MAGIC) - 1)
-            found = window.find(GZIP_MAGIC)
-            if found < 0:
-                at += max(1, len(window) - len(GZIP_MAGIC) + 1)
+            self._let_go(at)
+            self._fill(at + len(GZIP_MAGIC))
+            found = self.buffer.find(GZIP_MAGIC)
+            if found < 0:  # the magic number may begin in the last bytes
+                at += max(1, len(self.buffer) - len(GZIP_MAGIC) + 1)
                 continue
             if at + found >= self.end:
                 return
