@@ -12,14 +12,19 @@ content starts anywhere else too, in another document or in its own. The plan:
 4. The representatives' items are fetched from their documents and dealt out by anchor, which
    splits all suffixes that may match into groups of bounded memory. A *solver* (suffix tree or
    suffix array) decides each group and marks the repeated windows.
-5. Anchors whose different contexts have more than ``anchor_limit`` items (a frequent passage amid
-   different text; by default what fills half a shard) are not held by one task: their windows
-   are compared as wholes, by a 128-bit hash that is aggregated before it is shuffled.
-6. The marks go back to all occurrences and are gathered per document as spans of items.
-
-Nothing is sampled or capped, no group has to fit one task, and only sizes reach the driver.
-Hashes select candidates; equality inside a group is decided on the items by the solver. Contexts
-are collapsed on two independent 64-bit hashes.
+5. An anchor whose different contexts have more than ``anchor_limit`` items (a frequent passage amid
+   different text; by default what fills half a shard) is not held by one task: it is grown. Every window
+   of such a group holds the anchor, and on one side of it or the other at least half of its remaining
+   items; with those the anchor becomes a longer one that splits the group further, a context into at
+   most two shorter ones. Equal contexts collapse again. This goes on until a group fits; the
+   room beside the anchor halves each time, so after eight rounds or so anchors are whole windows and a
+   group has one context. So prefixes (and what stands before them) are as long as a group's size asks for.
+6. The marks go back, round by round, to all occurrences and are gathered per document as spans of items.
+
+Nothing is sampled or capped, no group has to fit one task, and only sizes reach the driver. All groups
+are decided by the solver. Contexts are collapsed on two independent 64-bit hashes. Joins that meet the
+texts are sort-merge joins at every size, so work grows evenly; intermediate tables are deleted when
+their last reader is written.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors
-from newsloom.llm.common import ROW, materialise, release, stable, with_row_id
+from newsloom.llm.common import ROW, discard, materialise, release, stable, with_row_id
 
 #: Items put together for one pass of numpy; longer documents are cut into overlapping pieces.
 PIECE_ITEMS = {"byte": 1 << 20, "word": 1 << 18}
@@ -127,7 +132,7 @@ def fetch_contexts(docs: DataFrame, text_col: str, wanted: DataFrame, unit: str,
     """The bytes of the wanted contexts: ``anchor, context, weight, windows, wide, items``."""
     per_row = wanted.groupBy(ROW).agg(F.collect_list(F.struct(
         "anchor", "context", "weight", "first", "windows", "wide")).alias("wanted"))
-    source = with_row_id(docs, F.col(text_col).alias("text")).join(per_row, ROW).select("text", "wanted")
+    source = with_row_id(docs, F.col(text_col).alias("text")).join(per_row.hint("merge"), ROW).select("text", "wanted")
     names = ["anchor", "context", "weight", "windows", "wide", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,32 +211,119 @@ def solve_groups(contexts: DataFrame, solver: Solver, shard_bytes: int) -> DataF
         run, "anchor long, context long, lo int, hi int")
 
 
-def solve_wide(contexts: DataFrame, unit: str, width: int) -> DataFrame:
-    """Marked windows of oversized anchors: windows compared as wholes by two 64-bit hashes."""
+def grow(width: int, windows: int, core_at: int, core: int) -> list[tuple[int, int, int, int]]:
+    """The shorter contexts that a context falls into when its anchor is grown: (first window, number of
+    windows, place of the new anchor, its length). The anchor of ``core`` items is at ``core_at``.
+
+    A window in front of which at least half of the room lies left of the anchor takes that half in;
+    any other one has more than the rest of the room on the right and takes that in.
+    """
+    room = width - core
+    half = (room + 1) // 2
+    out = []
+    last = min(windows - 1, core_at - half)
+    if last >= 0:
+        out.append((0, last + 1, core_at - half, core + half))
+    first = max(0, core_at - half + 1)
+    if first < windows:
+        out.append((first, windows - first, core_at - first, core + room - half + 1))
+    return out
+
+
+def anchor_place(values: np.ndarray, width: int, gram: int) -> int:
+    """Where the anchor of a context stands: the smallest hash in its first window, leftmost on ties."""
+    hashes = anchors.gram_hashes(values[:width], gram)
+    return int(np.argmin(hashes & ~np.uint64(anchors.MAX_ITEMS - 1)))
+
+
+GROWN = ("anchor long, context long, weight long, windows int, items binary, core_at int, core int, "
+         "up_anchor long, up_context long, up_lo int")
+
+
+def grown_contexts(wide: DataFrame, unit: str, width: int) -> DataFrame:
+    """One round: the contexts of oversized anchors, cut by longer anchors, with the context they come from
+    (``up_anchor``, ``up_context``) and their first window there (``up_lo``)."""
+    names = [f.split()[0] for f in GROWN.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchor, context, weight = (batch.column(c).to_numpy() for c in ("anchor", "context", "weight"))
-            for at, raw in enumerate(batch.column("items").to_pylist()):
-                n = batch.column("windows")[at].as_py()
+            rows = []
+            for up_anchor, up_context, weight, windows, raw, core_at, core in zip(*(batch.column(c).to_pylist() for c in names[:7])):
                 block = Items(unit)
-                items = raw if unit == "byte" else raw.split(b" ")
-                block.add(raw, len(items), 0, 0)
+                block.add(raw, windows + width - 1, 0, 0)
                 block.close()
-                lo = np.arange(n)
-                found = list(block.slices(lo, lo + width))
-                one = np.array([xxhash.xxh3_64_intdigest(x) for x in found], dtype=np.uint64).view(np.int64)
-                two = np.array([xxhash.xxh64_intdigest(x) for x in found], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two), pa.array(np.full(n, anchor[at])), pa.array(np.full(n, context[at])),
-                     pa.array(lo.astype(np.int32)), pa.array(np.full(n, weight[at]))],
-                    names=["one", "two", "anchor", "context", "lo", "weight"])
+                for lo, count, place, grown in grow(width, windows, core_at, core):
+                    first, last = np.array([lo, lo + place]), np.array([lo + count + width - 1, lo + place + grown])
+                    piece, middle = block.slices(first, last)
+                    # the hash of an anchor of another length never meets it by content
+                    key = xxhash.xxh3_64_intdigest(middle, seed=grown)
+                    rows.append((key, xxhash.xxh3_64_intdigest(piece, seed=1), weight, count, piece, place, grown,
+                                 up_anchor, up_context, lo))
+            columns = list(zip(*rows)) if rows else [[]] * len(names)
+            signed = [np.array(columns[k], dtype=np.uint64).view(np.int64) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed[0]), pa.array(signed[1]), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()),
+                 pa.array(columns[4], pa.binary()), pa.array(columns[5], pa.int32()), pa.array(columns[6], pa.int32()),
+                 pa.array(columns[7], pa.int64()), pa.array(columns[8], pa.int64()), pa.array(columns[9], pa.int32())], names=names)
+
+    return wide.select(*names[:7]).mapInArrow(run, GROWN)
+
+
+def first_anchors(contexts: DataFrame, unit: str, width: int, gram: int) -> DataFrame:
+    """Contexts with the place and length of the anchors that they were found by."""
+    names = ["anchor", "context", "weight", "windows", "items"]
 
-    rows = contexts.select("anchor", "context", "weight", "windows", "items").mapInArrow(
-        run, "one long, two long, anchor long, context long, lo int, weight long")
-    rows = materialise(rows, "repeat-wide")
-    twice = rows.groupBy("one", "two").agg(F.sum("weight").alias("total")).filter("total > 1").select("one", "two")
-    return rows.join(materialise(twice, "repeat-wide-keys"), ["one", "two"]).select(
-        "anchor", "context", "lo", F.col("lo").alias("hi"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = []
+            for raw, windows in zip(batch.column("items").to_pylist(), batch.column("windows").to_pylist()):
+                block = Items(unit)
+                block.add(raw, windows + width - 1, 0, 0)
+                block.close()
+                places.append(anchor_place(block.values, width, gram))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in names] + [pa.array(places, pa.int32()), pa.array([gram] * len(places), pa.int32())],
+                names=[*names, "core_at", "core"])
+
+    return contexts.select(*names).mapInArrow(
+        run, "anchor long, context long, weight long, windows int, items binary, core_at int, core int")
+
+
+def oversized(contexts: DataFrame, width: int, limit: int) -> DataFrame:
+    """``anchor``, ``wide``: anchors with two or more contexts that have more than ``limit`` items in all."""
+    sizes = contexts.groupBy("anchor").agg(F.sum(F.col("windows") + (width - 1)).alias("size"), F.count("*").alias("n"))
+    return sizes.filter((F.col("size") > limit) & (F.col("n") > 1)).select("anchor", F.lit(True).alias("wide"))
+
+
+def solve_wide(contexts: DataFrame, solver: Solver, unit: str, width: int, gram: int, limit: int,
+               shard_bytes: int) -> DataFrame:
+    """``anchor, context, lo, hi`` for the contexts of oversized anchors, by growing the anchors."""
+    current = materialise(first_anchors(contexts, unit, width, gram), "repeat-wide-0")
+    parents, marks = [], []
+    for level in range(1, 64):
+        children = materialise(grown_contexts(current, unit, width), f"repeat-grown-{level}")
+        merged = children.groupBy("anchor", "context").agg(
+            F.sum("weight").alias("weight"), *[F.first(c).alias(c) for c in ("windows", "items", "core_at", "core")])
+        merged = materialise(merged, f"repeat-merged-{level}")
+        discard(current)
+        parents.append(children)
+        wide = materialise(oversized(merged, width, limit), f"repeat-oversized-{level}")
+        ready = merged.join(wide.select("anchor"), "anchor", "left_anti")
+        marks.append(materialise(solve_groups(ready, solver, shard_bytes), f"repeat-solved-{level}"))
+        current = materialise(merged.join(wide.select("anchor"), "anchor", "left_semi"), f"repeat-wide-{level}")
+        discard(merged, wide)
+        if current.isEmpty():
+            discard(current)
+            break
+    found = None
+    for children, solved in zip(reversed(parents), reversed(marks)):
+        solved = solved if found is None else solved.union(found)
+        links = children.select("anchor", "context", "up_anchor", "up_context", "up_lo")
+        found = materialise(solved.join(links, ["anchor", "context"]).select(
+            F.col("up_anchor").alias("anchor"), F.col("up_context").alias("context"),
+            (F.col("lo") + F.col("up_lo")).alias("lo"), (F.col("hi") + F.col("up_lo")).alias("hi")), "repeat-back")
+    discard(*parents, *marks)
+    return found
 
 
 def repeated_spans(docs: DataFrame, solver: Solver, unit: str, width: int, gram: int, text_col: str = "text",
@@ -240,31 +332,32 @@ def repeated_spans(docs: DataFrame, solver: Solver, unit: str, width: int, gram:
     that its repeated windows cover (array of structs; they may overlap)."""
     spark = docs.sparkSession
     docs = stable(docs)
-    rows = materialise(context_rows(docs, text_col, unit, width, gram), "repeat-contexts")
-    shared = materialise(rows.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeat-anchors")
-    rows = materialise(rows.join(shared, "anchor"), "repeat-shared")
+    every = materialise(context_rows(docs, text_col, unit, width, gram), "repeat-contexts")
+    shared = materialise(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeat-anchors")
+    rows = materialise(every.join(shared.hint("merge"), "anchor"), "repeat-shared")
+    discard(every, shared)
     release(spark)
     distinct = rows.groupBy("anchor", "context").agg(
         F.count("*").alias("weight"), F.min(F.struct(ROW, "first", "windows")).alias("at"))
     distinct = materialise(distinct.select("anchor", "context", "weight", "at.*"), "repeat-distinct")
     limit = ANCHOR_LIMIT[unit] if anchor_limit is None else anchor_limit
-    items = distinct.groupBy("anchor").agg(F.sum(F.col("windows") + (width - 1)).alias("items"), F.count("*").alias("n"))
-    wide = items.filter((F.col("items") > limit) & (F.col("n") > 1))
-    wide = materialise(wide.select("anchor", F.lit(True).alias("wide")), "repeat-wide-anchors")
+    wide = materialise(oversized(distinct, width, limit), "repeat-wide-anchors")
     wanted = distinct.join(wide, "anchor", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
-    contexts = fetch_contexts(docs, text_col, wanted, unit, width)
-    narrow = materialise(solve_groups(contexts.filter("not wide"), solver, shard_bytes), "repeat-narrow")
-    marked = narrow
+    contexts = fetch_contexts(docs, text_col, wanted.filter("not wide"), unit, width)
+    marked = materialise(solve_groups(contexts, solver, shard_bytes), "repeat-narrow")
+    release(spark)
     if not wide.isEmpty():
         contexts = fetch_contexts(docs, text_col, wanted.filter("wide"), unit, width)
-        marked = narrow.union(solve_wide(contexts, unit, width))
-    release(spark)
+        marked = marked.union(solve_wide(contexts, solver, unit, width, gram, limit, shard_bytes))
     marked = marked.groupBy("anchor", "context").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     marked = materialise(marked, "repeat-marked")
     spans = (rows.join(marked, ["anchor", "context"]).select(ROW, "first", F.explode("runs").alias("run"))
              .select(ROW, (F.col("first") + F.col("run.lo")).alias("first"),
                      (F.col("first") + F.col("run.hi") + width).alias("end")))
-    return spans.groupBy(ROW).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    spans = materialise(spans.groupBy(ROW).agg(F.collect_list(F.struct("first", "end")).alias("spans")), "repeat-spans")
+    discard(rows, distinct, wide, marked)
+    release(spark)
+    return spans
 
 
 def covered(length: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -230,5 +230,5 @@ def remove_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      pa.array(kept, pa.binary()), pa.array(runs, pa.list_(pa.list_(pa.int64())))],
                     names=["id", "n_bytes", "n_removed", "kept", "spans"])
 
-    return source.join(spans, ROW, "left").select("id", "text", "spans").mapInArrow(
+    return source.join(spans.hint("merge"), ROW, "left").select("id", "text", "spans").mapInArrow(
         run, f"id {id_type}, n_bytes long, n_removed long, kept binary, spans array<array<long>>")

@@ -119,5 +119,5 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      pa.array(runs, pa.list_(pa.list_(pa.int64())))],
                     names=["id", "n_words", "n_removed", "kept", "spans"])
 
-    return source.join(spans, ROW, "left").select("id", "text", "spans").mapInArrow(
+    return source.join(spans.hint("merge"), ROW, "left").select("id", "text", "spans").mapInArrow(
         run, f"id {id_type}, n_words long, n_removed long, kept string, spans array<array<long>>")

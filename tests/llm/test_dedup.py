@@ -215,3 +215,76 @@ def test_windows_meet_in_their_anchor():
             where.add((d, p))
             assert seen.setdefault(values[begins[d] + p:begins[d] + p + 12].tobytes(), h) == h
     assert len(where) == sum(max(0, n - 11) for n in lengths)
+
+
+def test_grown_anchors_share_out_all_windows():
+    from newsloom.llm import repeats
+    rng = random.Random(12)
+    for _ in range(300):
+        width = rng.randint(2, 40)
+        core = rng.randint(1, width - 1)
+        windows = rng.randint(1, width - core + 1)
+        # the anchor lies in every window
+        core_at = rng.randint(windows - 1, width - core)
+        parts, rounds = [(0, windows, core_at, core)], 0
+        while any(c < width for _, _, _, c in parts):
+            grown = []
+            for lo, n, at, c in parts:
+                if c == width:
+                    grown.append((lo, n, at, c))
+                    continue
+                for first, count, place, longer in repeats.grow(width, n, at, c):
+                    assert c < longer <= width and count - 1 <= place <= width - longer
+                    grown.append((lo + first, count, place, longer))
+            parts, rounds = sorted(grown), rounds + 1
+            assert [w for lo, n, _, _ in parts for w in range(lo, lo + n)] == list(range(windows))
+        assert all(n == 1 for _, n, _, _ in parts) and rounds <= 1 + (width - core).bit_length()
+
+
+def test_scans_with_other_core_counts_agree(spark, save, monkeypatch):
+    """Rows are told apart by file and place: another number of splits changes nothing."""
+    from newsloom.llm import common, decontaminate, exact_dedup, mixing, simhash, warc
+    rows = [(i, f"text {i % 40} of forty " * (3 + i % 5)) for i in range(600)]
+    table = save(rows, "doc_id long, text string, source string".replace(", source string", ""), files=5)
+    pages = save([(i, "http://x", f"<p>{i % 50}</p>") for i in range(400)], "page_id long, url string, html string", files=5)
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    turn = iter(range(10**6))
+
+    def shaken(df, name, real=common.materialise):
+        k = next(turn) % 3
+        spark.conf.set(names[0], ["1", "12", "3"][k])
+        spark.conf.set(names[1], ["128m", "4k", "64k"][k])
+        spark.conf.set(names[2], "0")
+        return real(df, name)
+
+    for module in (common, exact_dedup, simhash, warc, decontaminate, mixing):
+        monkeypatch.setattr(module, "materialise", shaken)
+    try:
+        kept = exact_dedup.drop_exact_copies(table).collect()
+        assert len(kept) == len({r["text"] for r in kept}) == len({t for _, t in rows})
+        near = simhash.drop_near_copies(table).collect()
+        assert len({r["doc_id"] for r in near}) == len(near) > 0
+        mixed = mixing.mix_sources(table.selectExpr("*", "'a' AS source"))
+        assert sum(r["taken"] for r in mixed.collect()) == int(1.5 * sum(len(t.split()) for _, t in rows))
+        records = warc.round_trip(pages).collect()
+        assert sum(r["record_type"] == "response" for r in records) == 50 and len(records) == 400
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_no_helper_column_clashes(spark, save):
+    from newsloom.llm import decontaminate, exact_dedup, langid, mixing, simhash
+    names = ("_row _dropped _dedup_row _near_row _lang_row _bench_row _bad taken size epoch _size _taken_row _mix_row mix_epoch "
+             "mix_words _path _base _at _values _in0 lang_pred id text_ key root fp gone").split()
+    rows = [(i, f"word{i % 4} some text here", "en", "s", *[k] * len(names)) for i in range(8) for k in (i,)]
+    table = save(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} long" for n in names))
+    bench = save([("b", "nothing alike")], "item_id string, text string", files=1)
+    for out in (exact_dedup.drop_exact_copies(table), simhash.drop_near_copies(table), langid.drop_unidentified(table),
+                decontaminate.drop_contaminated(table, bench)):
+        assert out.columns == table.columns
+        assert all(r[n] == r["doc_id"] for r in out.collect() for n in names)
+    once = mixing.mixed_documents(table)
+    again = mixing.mixed_documents(once.drop("mix_words"))
+    assert set(table.columns) <= set(again.columns) and again.count() > 0
