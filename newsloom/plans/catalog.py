@@ -556,10 +556,11 @@ def q_online_recall(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(ONLINE_PARTS - 1))
     sim = write_once(similar(spark, sf_dir), "article-similar")   # K1, read by every batch
+    channels = write_once(S.article_channel(spark, sf_dir), "article-channel")   # read by every batch
     for number in range(ONLINE_PARTS):   # as many files as its size asks for; all that is there is one batch
         events.where(part == number).hint("rebalance").write.parquet(f"{source}/part-{number}")
         stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(source)
-        messages = ON.click_messages(S.user_action_from(stream, S.article_channel(spark, sf_dir)))
+        messages = ON.click_messages(S.user_action_from(stream, channels))
         ON.start_online_recall(messages, sim, store, ckpt, available_now=True).awaitTermination()
     return ON.read_recall(spark, store).select("user_id", "channel_id", "article_id", "batch")
 
@@ -574,3 +575,33 @@ def q_hot_articles(spark, sf_dir):
 def q_new_articles(spark, sf_dir):
     n = ON.new_articles(S.news_article_basic(spark, sf_dir))
     return n.withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("hot_articles_stream")
+def q_hot_articles_stream(spark, sf_dir):
+    """ST7 as a stream: the most clicked articles of every (day, channel), counted over four ordered
+    micro-batches with a watermark."""
+    store, ckpt, source = (scratch_path(spark, f"hot-{x}") for x in ("store", "ckpt", "events"))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(ONLINE_PARTS - 1))
+    channels = write_once(S.article_channel(spark, sf_dir), "article-channel")
+    for number in range(ONLINE_PARTS):
+        events.where(part == number).hint("rebalance").write.parquet(f"{source}/part-{number}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(source)
+        messages = ON.click_messages(S.user_action_from(stream, channels))
+        ON.start_hot_counts(messages, store, ckpt, available_now=True).awaitTermination()
+    found = ON.hot_of_windows(ON.hot_counts(spark, store))
+    return found.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).select(
+        "day", "channel_id", "article_id", "clicks", "rank")
+
+
+@query("new_articles_stream")
+def q_new_articles_stream(spark, sf_dir):
+    """ST7 as a stream: the newest articles of every channel after three micro-batches of articles."""
+    store, ckpt, source = (scratch_path(spark, f"new-{x}") for x in ("store", "ckpt", "articles"))
+    articles = S.news_article_basic(spark, sf_dir).select("channel_id", "article_id", "update_time")
+    for number in range(3):
+        articles.where(F.col("article_id") % 3 == number).write.parquet(f"{source}/part-{number}")
+        stream = spark.readStream.schema(articles.schema).option("recursiveFileLookup", "true").parquet(source)
+        ON.start_new_articles(stream, store, ckpt, available_now=True).awaitTermination()
+    return ON.new_lists(spark, store).withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))

@@ -538,6 +538,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY clicks DESC,
 WHERE rank <= 10
 """
 
+ORACLE["hot_articles_stream"] = _with(ONLINE_CTES.replace("channelId AS channel_id, action,", "channelId AS channel_id, action, substr(actionTime, 1, 10) AS day,")) + """,
+c AS (SELECT day, channel_id, article_id, count(*) AS clicks FROM oc
+      WHERE user_id IS NOT NULL AND article_id IS NOT NULL GROUP BY ALL)
+SELECT day, channel_id, article_id, clicks, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY day, channel_id ORDER BY clicks DESC, article_id) AS rank FROM c)
+WHERE rank <= 10
+"""
+
 ORACLE["new_articles"] = f"""
 WITH a AS (SELECT {CHANNEL_EXPR} AS channel_id, doc_id AS article_id,
                   to_timestamp(epoch(TIMESTAMP '{AS_OF}') - 86400 + (doc_id * 7919) % 86400) AT TIME ZONE 'UTC' AS ut
@@ -546,3 +554,5 @@ SELECT channel_id, article_id, strftime(ut, '%Y-%m-%d %H:%M:%S') AS update_time,
 FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY ut DESC, article_id DESC) AS rank FROM a)
 WHERE rank <= 10
 """
+
+ORACLE["new_articles_stream"] = ORACLE["new_articles"]

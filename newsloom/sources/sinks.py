@@ -4,8 +4,8 @@ partitioned table writes that are safe to re-run.
 * a run overwrites its own partition folder (``run=...`` / ``version=...``), so re-running an
   hour replaces that hour (Q2), also by no rows at all, and a lost task or a replayed
   stream batch never duplicates rows;
-* a table rebuilt from itself plus a delta (K-S2) is written to a new version
-  folder and read back by version -- a path is never read and overwritten at once;
+* a table rebuilt from itself plus a delta (K-S2) is written to a new folder that a commit
+  pointer makes the table -- a path is never read and overwritten at once;
 * nothing is collected to the driver (the reference's batched put after collect()).
 """
 
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.sources.versions import VersionedTable
+
 
 def write_run_partition(df: DataFrame, path: str, column: str, value: str) -> None:
     """K-S1 / K-S4 / K-S5 / K-S6 / K-S7 / K-S8 / K-S9: write ``df`` as partition
@@ -34,9 +36,9 @@ def latest_partition_value(spark: SparkSession, path: str, column: str) -> str |
 
 
 def replace_table(df: DataFrame, path: str, version: str) -> DataFrame:
-    """K-S2: the new contents go to ``path/version=<version>``; returns a reader of it."""
-    write_run_partition(df, path, "version", version)
-    return read_partition(df.sparkSession, path, "version", version).drop("version")
+    """K-S2: a table rebuilt from itself plus a delta gets new contents, visible all at once by a commit
+    pointer (``versions``); returns a reader of them. The same version may be written again."""
+    return VersionedTable(df.sparkSession, path).publish(df, version)
 
 
 def write_similar(similar: DataFrame, path: str, run: str) -> None:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from newsloom.plans import jobs as J
 from newsloom.sources import sinks as K
 from newsloom.sources import tables as S
+from newsloom.sources.versions import VersionedTable
 from tests.conftest import SF001
 
 AS_OF = "2024-02-01 00:00:00"
@@ -52,10 +53,10 @@ def test_jobs_end_to_end_idempotent(spark, tmp_path):
     inp.user_action.write.partitionBy("dt").parquet(log)
     assert J.update_user_profile(inp, prof, out, AS_OF, log_path=log, dt="2030-01-01")["log"] == "none"
     J.update_user_profile(inp, prof, out, HOUR, log_path=log, dt="2024-01-15")
-    day = K.read_partition(spark, f"{out}/user_article_basic", "version", hour)
+    day = VersionedTable(spark, f"{out}/user_article_basic").read(hour)
     assert day.select(F.substring("action_time", 1, 10)).distinct().collect() == [("2024-01-15",)]
     J.update_user_profile(inp, prof, out, AS_OF)
-    basic = K.read_partition(spark, f"{out}/user_article_basic", "version", run).drop("version")
+    basic = VersionedTable(spark, f"{out}/user_article_basic").read()
     partial = K.read_partition(spark, f"{out}/user_profile_partial", "run", run).drop("run")
     assert basic.count() > 0 and partial.count() > 0
 
