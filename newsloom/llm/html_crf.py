@@ -10,7 +10,7 @@ Training pages are labelled: generated pages with known main text (many layouts:
 containers, menus, notices, adverts, forms, comments), and about ``sample_pages`` pages of the
 input (those with the smallest hashed ids) that mark their article with ``article`` or ``main``.
 The likelihood's gradient (forward-backward) is followed in numpy on the driver; only the features
-of the sample's blocks, at most ``sample_blocks`` a page, reach it.
+of the sample's blocks reach it; pages of more than ``sample_blocks`` blocks are not learned from.
 
 Defined results: a null or empty html, and a page without a main block, give an empty text;
 character references are decoded, white space inside a block becomes one space, blocks are joined
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.common import ROW, with_row_id
 
-SAMPLE_PAGES, SAMPLE_BLOCKS = 150, 200
+SAMPLE_PAGES, SAMPLE_BLOCKS = 150, 1000
 GENERATED_PAGES, ROUNDS, RATE, DECAY, SEED = 400, 150, 0.15, 1e-3, 11
 
 # Fixed values of HTML: tags that start a block, that are not rendered, and that have no end.
@@ -392,56 +392,83 @@ class Field:
         return [x.text for x, label in zip(leaves, self.viterbi(scores)) if label]
 
 
+class Chains:
+    """Labelled sequences as flat arrays: blocks in the order of their step, longest sequence first, so
+    step t is one stretch of the sequences that have a t-th block. Features are (block, feature) pairs;
+    memory grows with what is there, not with the longest page or the number of features."""
+
+    def __init__(self, sequences: list[tuple[list[list[str]], list[int]]]):
+        ordered = sorted(sequences, key=lambda s: -len(s[1]))
+        names = sorted({f for features, _ in ordered for block in features for f in block})
+        self.number = {f: i for i, f in enumerate(names)}
+        lengths = np.array([len(labels) for _, labels in ordered])
+        self.active = [int((lengths > t).sum()) for t in range(int(lengths[0]))]
+        self.begin = np.concatenate(([0], np.cumsum(self.active)))
+        self.size = int(self.begin[-1])
+        self.labels = np.zeros(self.size, dtype=np.int64)
+        block, feature = [], []
+        for s, (features, labels) in enumerate(ordered):
+            for t, found in enumerate(features):
+                at = int(self.begin[t]) + s
+                self.labels[at] = labels[t]
+                block.extend([at] * len(set(found)))
+                feature.extend(self.number[f] for f in set(found))
+        self.block, self.feature = np.array(block, dtype=np.int64), np.array(feature, dtype=np.int64)
+        self.moves = np.zeros((2, 2))
+        for t in range(1, len(self.active)):
+            n = self.active[t]
+            np.add.at(self.moves, (self.labels[self.begin[t - 1]:self.begin[t - 1] + n], self.labels[self.begin[t]:self.begin[t] + n]), 1)
+
+    def likelihood(self, weights: np.ndarray, start: np.ndarray, moves: np.ndarray
+                   ) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Negative log-likelihood of the labels and its gradients, by the forward-backward pass."""
+        emission = np.zeros((self.size, 2))
+        emission[:, 1] = np.bincount(self.block, weights[self.feature], minlength=self.size)
+        ahead, back = emission.copy(), np.zeros((self.size, 2))
+        first = slice(0, self.active[0])
+        ahead[first] += start
+        for t in range(1, len(self.active)):
+            n, now, was = self.active[t], int(self.begin[t]), int(self.begin[t - 1])
+            ahead[now:now + n] += np.logaddexp.reduce(ahead[was:was + n, :, None] + moves, axis=1)
+        for t in range(len(self.active) - 2, -1, -1):
+            n, now, after = self.active[t + 1], int(self.begin[t]), int(self.begin[t + 1])
+            back[now:now + n] = np.logaddexp.reduce(moves + (emission[after:after + n] + back[after:after + n])[:, None, :], axis=2)
+        norm = np.logaddexp.reduce(ahead[first] + back[first], axis=1)
+        of_block = np.concatenate([norm[:n] for n in self.active])
+        single = np.exp(ahead + back - of_block[:, None])
+        pairs = np.zeros((2, 2))
+        for t in range(1, len(self.active)):
+            n, now, was = self.active[t], int(self.begin[t]), int(self.begin[t - 1])
+            pairs += np.exp(ahead[was:was + n, :, None] + moves + (emission[now:now + n] + back[now:now + n])[:, None, :]
+                            - norm[:n, None, None]).sum(axis=0)
+        begun = np.bincount(self.labels[first], minlength=2)
+        value = norm.sum() - (emission[np.arange(self.size), self.labels].sum() + (begun * start).sum() + (self.moves * moves).sum())
+        gap = single[:, 1] - self.labels
+        return (float(value), np.bincount(self.feature, gap[self.block], minlength=len(weights)),
+                single[first].sum(axis=0) - begun, pairs - self.moves)
+
+
 def train(sequences: list[tuple[list[list[str]], list[int]]], rounds: int = ROUNDS, rate: float = RATE,
           decay: float = DECAY) -> Field:
     """Maximise the penalised likelihood of the labelled sequences, all chains side by side."""
-    names = sorted({f for features, _ in sequences for block in features for f in block})
-    number = {f: i for i, f in enumerate(names)}
-    steps = max(len(labels) for _, labels in sequences)
-    x = np.zeros((steps, len(sequences), len(names)), dtype=np.float32)
-    y = np.zeros((steps, len(sequences)), dtype=np.int64)
-    there = np.zeros((steps, len(sequences)), dtype=bool)
-    for s, (features, labels) in enumerate(sequences):
-        for t, block in enumerate(features):
-            x[t, s, [number[f] for f in block]] = 1
-            y[t, s], there[t, s] = labels[t], True
-    flat = x.reshape(-1, len(names))
-    theta = [np.zeros(len(names)), np.zeros(2), np.zeros((2, 2))]
+    chains = Chains(sequences)
+    theta = [np.zeros(len(chains.number)), np.zeros(2), np.zeros((2, 2))]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in theta]
-    total = there.sum()
-    both = there[1:] & there[:-1]
-    seen_moves = np.zeros((2, 2))
-    np.add.at(seen_moves, (y[:-1][both], y[1:][both]), 1)
     for step in range(1, rounds + 1):
-        weights, start, moves = theta
-        emission = np.zeros((steps, len(sequences), 2))
-        emission[:, :, 1] = (flat @ weights.astype(np.float32)).reshape(steps, -1)
-        ahead, back = np.zeros_like(emission), np.zeros_like(emission)
-        ahead[0] = start + emission[0]
-        for t in range(1, steps):
-            grown = np.logaddexp.reduce(ahead[t - 1][:, :, None] + moves, axis=1) + emission[t]
-            ahead[t] = np.where(there[t][:, None], grown, ahead[t - 1])
-        for t in range(steps - 2, -1, -1):
-            grown = np.logaddexp.reduce(moves + (emission[t + 1] + back[t + 1])[:, None, :], axis=2)
-            back[t] = np.where(there[t + 1][:, None], grown, 0)
-        norm = np.logaddexp.reduce(ahead[-1], axis=1)
-        single = np.exp(ahead + back - norm[:, None])
-        gap = np.where(there, single[:, :, 1] - y, 0)
-        pair = np.exp(ahead[:-1, :, :, None] + moves + (emission[1:] + back[1:])[:, :, None, :] - norm[:, None, None])
-        grads = [flat.T @ gap.reshape(-1).astype(np.float32) / total + decay * weights,
-                 (single[0].sum(axis=0) - np.bincount(y[0], minlength=2)) / total + decay * start,
-                 (pair[both].sum(axis=0) - seen_moves) / total + decay * moves]
+        _, *grads = chains.likelihood(*theta)
         for p, g, (m, v) in zip(theta, grads, moments):
+            g = g / chains.size + decay * p
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     weights, start, moves = theta
-    return Field({f: float(weights[i]) for f, i in number.items()}, start, moves)
+    return Field({f: float(weights[i]) for f, i in chains.number.items()}, start, moves)
 
 
 def sampled_sequences(pages: DataFrame, id_col: str, html_col: str, sample_pages: int, sample_blocks: int
                       ) -> list[tuple[list[list[str]], list[int]]]:
-    """Features and labels of the sample's pages that mark their article."""
+    """Features and labels of the sample's pages that mark their article: whole pages, of at most
+    ``sample_blocks`` blocks each."""
     order = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     last = pages.select(order.alias("order")).orderBy("order").limit(sample_pages).agg(F.max("order")).first()[0]
     if last is None:
@@ -453,10 +480,9 @@ def sampled_sequences(pages: DataFrame, id_col: str, html_col: str, sample_pages
             for html in batch.column("html").to_pylist():
                 leaves = leaf_blocks(html)
                 labels = [label_by_markup(x) for x in leaves]
-                if any(labels):
-                    features = [path_features(x.path) + text_features(x, i, len(leaves))
-                                for i, x in enumerate(leaves[:sample_blocks])]
-                    out.append(json.dumps([features, labels[:sample_blocks]]))
+                if any(labels) and len(labels) <= sample_blocks:
+                    features = [path_features(x.path) + text_features(x, i, len(leaves)) for i, x in enumerate(leaves)]
+                    out.append(json.dumps([features, labels]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["page"])
 
     rows = pages.filter(order <= F.lit(last)).select(F.col(html_col).alias("html")).mapInArrow(run, "page string")

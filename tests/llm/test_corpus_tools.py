@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import itertools
 import math
 import random
 import re
@@ -315,6 +316,51 @@ def test_guess_bits_is_the_cheapest_segmentation():
         assert bits(cheap) < bits(dear)
 
 
+def test_field_gradient_and_viterbi_equal_all_labelings():
+    rng = np.random.default_rng(2)
+    names = [f"f{k}" for k in range(6)]
+    sequences = [([[names[k] for k in np.flatnonzero(rng.random(6) < 0.5)] for _ in range(n)], rng.integers(0, 2, n).tolist())
+                 for n in (1, 3, 5, 2, 5)]
+    chains = html_crf.Chains(sequences)
+    theta = [rng.normal(size=len(chains.number)), rng.normal(size=2), rng.normal(size=(2, 2))]
+
+    def score(features, labels, weights, start, moves):
+        total = start[labels[0]] + sum(moves[a, b] for a, b in zip(labels, labels[1:]))
+        return total + sum(weights[chains.number[f]] for block, y in zip(features, labels) if y for f in block)
+
+    def loss(weights, start, moves):
+        out = 0.0
+        for features, labels in sequences:
+            every = [score(features, y, weights, start, moves) for y in itertools.product((0, 1), repeat=len(labels))]
+            out += np.logaddexp.reduce(every) - score(features, labels, weights, start, moves)
+        return out
+
+    value, *grads = chains.likelihood(*theta)
+    assert value == pytest.approx(loss(*theta))
+    for k, g in enumerate(grads):
+        for at in np.ndindex(g.shape):
+            moved = [p.copy() for p in theta]
+            moved[k][at] += 1e-5
+            assert g[at] == pytest.approx((loss(*moved) - value) / 1e-5, abs=1e-3)
+    field = html_crf.Field({f: float(theta[0][i]) for f, i in chains.number.items()}, theta[1], theta[2])
+    for features, labels in sequences:
+        emissions = [sum(field.weights[f] for f in block) for block in features]
+        best = max(itertools.product((0, 1), repeat=len(labels)), key=lambda y: score(features, y, *theta))
+        assert field.viterbi(emissions) == list(best)
+
+
+def test_training_memory_follows_what_is_there():
+    import tracemalloc
+    rng = random.Random(4)
+    sequences = [([[f"class:{rng.randrange(8000)}", f"tag:{rng.randrange(20)}"] for _ in range(900 if k == 0 else 60)],
+                  [rng.randrange(2) for _ in range(900 if k == 0 else 60)]) for k in range(150)]
+    tracemalloc.start()
+    html_crf.train(sequences, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
 def brute_bits(value, words):
     """The cheapest segmentation, every pair of places tried with every kind of segment."""
     lower = value.lower()
