@@ -82,6 +82,11 @@ def vocab_idf(tf: DataFrame, n_docs: int, vocab_size: int = VOCAB_SIZE) -> DataF
     The top-N is a bounded TakeOrderedAndProject (N x partitions rows reach one task).
     """
     stats = tf.groupBy("token").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    return vocab_idf_of(stats, n_docs, vocab_size)
+
+
+def vocab_idf_of(stats: DataFrame, n_docs: int, vocab_size: int = VOCAB_SIZE) -> DataFrame:
+    """T9 from corpus counts (token, total, df)."""
     top = stats.orderBy(F.col("total").desc(), F.col("token").asc()).limit(vocab_size)
     w = Window.orderBy(F.col("total").desc(), F.col("token").asc())
     return top.select(

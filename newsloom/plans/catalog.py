@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators import behavior as BH
+from newsloom.operators import embeddings as EM
+from newsloom.operators import vocabulary as VO
 from newsloom.sources import tables as S
+from newsloom.sources.importer import IncrementalImport
 from newsloom.session import ensure_checkpoint_dir, scratch_path, write_once
 from newsloom.sources.tables import AS_OF, EVENT_SPLIT
 
@@ -158,6 +161,21 @@ def q_upsert_by_key(spark, sf_dir):
     return u.withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("import_increments")
+def q_import_increments(spark, sf_dir):
+    """Four imports of a growing orders table; some rows come late, some share the mark's time, the
+    last import is a replay. The target is that of one full import of base and changes."""
+    base, delta = S.orders_base(spark, sf_dir), S.orders_delta(spark, sf_dir)
+    late = (F.col("o_orderkey") % 50 == 0) & F.col("update_time").between(
+        F.to_timestamp(F.lit("1994-12-01")), F.to_timestamp(F.lit("1995-01-01")))
+    first = base.where((F.col("update_time") <= F.to_timestamp(F.lit("1995-01-01"))) & ~late)
+    job = IncrementalImport(spark, scratch_path(spark, "import"), ["o_orderkey"], "update_time", lateness="40 years")
+    target = None
+    for number, source in enumerate((first, base, base.unionByName(delta), base.unionByName(delta))):
+        target = job.run(source, str(number))
+    return target.withColumn("update_time", F.date_format("update_time", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("clean_title")
 def q_clean_title(spark, sf_dir):
     b = S.news_article_basic(spark, sf_dir)
@@ -198,6 +216,37 @@ def q_vocab_idf(spark, sf_dir):
     return vocabulary(spark, sf_dir).withColumn("idf", F.round("idf", 6))
 
 
+@query("vocab_maintained")
+def q_vocab_maintained(spark, sf_dir):
+    """A7/A8/A10 kept up: the vocabulary after a first run over most articles (some with another text) and
+    two hours of new and corrected ones; exactly that of a full recount."""
+    sent = sentences(spark, sf_dir)
+    hour = F.when(F.col("article_id") % 10 == 3, 1).when(F.col("article_id") % 10 == 7, 2).otherwise(0)
+    early = F.when(F.col("article_id") % 20 == 1, F.substring("sentence", 1, 300)).otherwise(F.col("sentence"))
+    hours = [sent.where(hour == 0).withColumn("sentence", early), sent.where(hour == 1),
+             sent.where((hour == 2) | (F.col("article_id") % 20 == 1))]
+    state = known = articles = None
+    for number, rows in enumerate(hours):
+        tf = write_once(A.term_frequency(A.article_words(rows)), f"hour-{number}-terms")
+        if state is None:
+            state, known, articles = VO.counts_of(tf, rows), tf, rows.select("article_id")
+        else:
+            state = VO.merge(state, VO.delta(tf, rows, known, articles))
+            known = known.join(rows.select("article_id"), "article_id", "left_anti").unionByName(tf)
+            articles = articles.union(rows.select("article_id")).distinct()
+        state = write_once(state, f"hour-{number}-counts")
+    return VO.vocabulary(state).withColumn("idf", F.round("idf", 6))
+
+
+@query("cooccurrence_counts")
+def q_cooccurrence_counts(spark, sf_dir):
+    """M8's counts: how often two tokens of an article stand less than five tokens apart."""
+    words = A.article_words(sentences(spark, sf_dir))
+    kept = F.transform("words", lambda w: F.when(TX.keep_token(w), w))
+    counts = EM.cooccurrence(words.select(kept.alias("words")))
+    return counts.where(F.col("n") >= 3)
+
+
 @query("tfidf_top20")
 def q_tfidf_top20(spark, sf_dir):
     return tfidf_keywords(spark, sf_dir)
@@ -259,6 +308,16 @@ def similar(spark: SparkSession, sf_dir: str, order: str = "nearest") -> DataFra
     return SIM.similar_top_k(S.article_vector(spark, sf_dir), order=order, dim=EMBED_DIM)
 
 
+@query("ppmi_word_vectors")
+def q_ppmi_word_vectors(spark, sf_dir):
+    """M8 / M9: word vectors of the corpus from co-occurrence, 16 wide."""
+    words = A.article_words(sentences(spark, sf_dir))
+    kept = F.transform("words", lambda w: F.when(TX.keep_token(w), w))
+    vectors = EM.word_vectors(words.select(kept.alias("words")), rank=16, rounds=2)
+    return vectors.select("word", F.size("vec").alias("width"), F.round(F.aggregate(
+        "vec", F.lit(0.0), lambda a, x: a + x * x), 4).alias("squared_norm"))
+
+
 @query("similar_top10")
 def q_similar_top10(spark, sf_dir):
     s = similar(spark, sf_dir)

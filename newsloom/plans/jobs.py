@@ -19,12 +19,14 @@ from newsloom.operators import recall as RC
 from newsloom.operators import similarity as SIM
 from newsloom.operators import tiles as TL
 from newsloom.operators import vectors as VEC
+from newsloom.operators import vocabulary as VO
 from newsloom.operators.topk import latest_by_key
 from newsloom.functions import text as T
 from newsloom.session import write_once
 from newsloom.sources import ingest as I
 from newsloom.sources import sinks as K
 from newsloom.sources import tables as S
+from newsloom.sources.versions import VersionedTable
 
 
 APPROVED = 2     # fixed value: status of a reviewed article
@@ -66,8 +68,8 @@ def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool
     T12 profile, T13 Word2Vec article vectors, K1 similar articles.
 
     The full run builds everything and saves the word-vector model. ``incremental`` takes the
-    articles of the last full hour (S8): the saved vocabulary and model are reused, topics
-    look at the keyword tables of all runs. The lists of the new articles are searched among all
+    articles of the last full hour (S8): the vocabulary follows from the stored counts and the
+    hour's changes, the saved model is reused, topics look at the keyword tables of all runs. The lists of the new articles are searched among all
     articles, and older articles' lists that a new article enters or leaves are written
     again, so the lists in force are those of a full run. An hour without articles writes an empty T8 run and stops (P10).
     """
@@ -78,12 +80,8 @@ def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool
     if sent.isEmpty():
         return {"run": run, "articles": "none"}
     tf = write_once(A.term_frequency(A.article_words(sent)), "term-frequency")
-    idf_path = f"{out}/idf_keywords_values"
-    if incremental:
-        saved = K.latest_partition_value(spark, idf_path, "run")
-        vocab = K.read_partition(spark, idf_path, "run", saved).drop("run")
-    else:
-        vocab = _written(A.vocab_idf(tf, inp.n_documents, vocab_size), idf_path, run)
+    state = _vocabulary_state(spark, out, run, tf, sent, incremental)
+    vocab = _written(VO.vocabulary(state, vocab_size), f"{out}/idf_keywords_values", run)
     tfidf = _written(A.tfidf_top_k(tf, vocab, vocab_size=vocab_size), f"{out}/tfidf_keywords_values", run)
     tr_path = f"{out}/textrank_keywords_values"
     tr = _written(A.textrank(sent), tr_path, run)
@@ -112,6 +110,30 @@ def update_article_profile(inp: Inputs, out: str, as_of: str, incremental: bool
     return {"run": run}
 
 
+def _vocabulary_state(spark: SparkSession, out: str, run: str, tf: DataFrame, sent: DataFrame, incremental: bool) -> DataFrame:
+    """Corpus counts after this run, a versioned table. Commit n of it goes with the term counts in
+    ``term_counts/commit=n``, written before; those of a run that died in between are never read and
+    written again. A version is named ``run@n`` with the commit n of the full run that it builds on."""
+    store = VersionedTable(spark, f"{out}/vocabulary_state")
+    seen, before = store.last_number(), store.current() if incremental else None
+    articles = sent.select("article_id")
+    counts = articles.join(tf, "article_id", "left").select("article_id", "token", "tf")   # also articles without a term
+    base = seen + 1
+    if before is None:
+        state = VO.counts_of(tf, articles)
+    else:
+        base = int(before.version.split("@")[1])
+        rows = spark.read.parquet(f"{out}/term_counts").where(F.col("commit").between(base, before.number))
+        newest = rows.groupBy("article_id").agg(F.max("commit").alias("commit"))
+        old = rows.join(newest, ["article_id", "commit"], "left_semi")
+        state = VO.merge(store.read(before.version), VO.delta(tf, articles, old.where(F.col("token").isNotNull()), newest))
+    folder = store.stage(state, run)
+    K.write_run_partition(counts, f"{out}/term_counts", "commit", str(seen + 1))
+    store.commit(f"{run}@{base}", folder, seen)
+    store.expire()
+    return store.read(f"{run}@{base}")
+
+
 def update_user_profile(inp: Inputs, profile: DataFrame, out: str, as_of: str,
                         previous_basic: DataFrame | None = None, log_path: str | None = None,
                         dt: str | None = None) -> dict[str, str]:

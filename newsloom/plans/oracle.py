@@ -556,3 +556,16 @@ WHERE rank <= 10
 """
 
 ORACLE["new_articles_stream"] = ORACLE["new_articles"]
+
+ORACLE["import_increments"] = ORACLE["upsert_by_key"]
+
+ORACLE["vocab_maintained"] = ORACLE["vocab_idf"]
+
+ORACLE["cooccurrence_counts"] = _with(TOKEN_CTES) + """,
+tkp AS (SELECT article_id, unnest(words) AS tok, generate_subscripts(words, 1) AS pos FROM wrd),
+kept AS (SELECT * FROM tkp WHERE """ + KEEP.format(t="tok") + """),
+near AS (SELECT a.tok AS a, b.tok AS b FROM kept a CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS d) off
+         JOIN kept b ON b.article_id = a.article_id AND b.pos = a.pos + off.d)
+SELECT word, other, count(*) AS n
+FROM (SELECT a AS word, b AS other FROM near UNION ALL SELECT b, a FROM near) GROUP BY ALL HAVING count(*) >= 3
+"""
