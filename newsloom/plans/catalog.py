@@ -511,10 +511,28 @@ def q_article_features(spark, sf_dir):
         .withColumn("value", F.round("value", 6))
 
 
-def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_set(spark: SparkSession, sf_dir: str, one_hot_channels: int = 0) -> DataFrame:
     prof = write_once(profile(spark, sf_dir), "article-profile")   # T12, read twice
     return FT.ctr_training_set(behavior(spark, sf_dir), FT.user_channel_arrays(user_partial(spark, sf_dir, prof)),
-                               S.article_vector(spark, sf_dir), FT.article_weights(prof))
+                               S.article_vector(spark, sf_dir), FT.article_weights(prof), one_hot_channels)
+
+
+@query("popularity_auc")
+def q_popularity_auc(spark, sf_dir):
+    """P13 on a plain score: how well the number of users who clicked an article tells the rows (user,
+    article) that were clicked from those that were only shown."""
+    rows = behavior(spark, sf_dir).select("user_id", "article_id", F.col("clicked").cast("int").alias("clicked"))
+    clicks = rows.groupBy("article_id").agg(F.sum("clicked").alias("p_click"))
+    found = FT.rank_auc(rows.join(clicks, "article_id"))
+    return found.withColumn("auc", F.round("auc", 9))
+
+
+@query("ctr_training_set_wide")
+def q_ctr_training_set_wide(spark, sf_dir):
+    """M20 in the planned layout: the channel as 25 columns of 0 and 1 in front."""
+    t = training_set(spark, sf_dir, one_hot_channels=FT.N_CHANNELS)
+    return t.select("user_id", "article_id", "clicked", "channel_id", F.posexplode("features").alias("pos", "value")) \
+        .withColumn("value", F.round("value", 6))
 
 
 @query("ctr_training_set")

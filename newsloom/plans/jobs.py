@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,3 +185,19 @@ def update_ctr_feature(partial: DataFrame, profile: DataFrame, vectors: DataFram
     K.write_run_partition(FT.article_features(FT.article_weights(profile), vectors),
                           f"{out}/ctr_feature_article", "run", run)
     return {"run": run}
+
+
+def update_ctr_model(training: DataFrame, out: str, as_of: str, max_iter: int = 100) -> dict:
+    """Model part of the feature job (M21, M22, P13): fit on the users that are not held out, save the model,
+    reload it and judge it by the held-out users' rows; writes their scores and one row of figures."""
+    run, spark = _run_id(as_of), training.sparkSession
+    training = write_once(training, "ctr-training")
+    apart = FT.held_out_users(training)
+    path = f"{out}/models/ctr/run={run}"
+    FT.fit_ctr(training.where(~apart), max_iter).write().overwrite().save(path)
+    model = LogisticRegressionModel.load(path)
+    K.write_run_partition(FT.ctr_scores(model, training.where(apart)), f"{out}/ctr_scores", "run", run)
+    scores = K.read_partition(spark, f"{out}/ctr_scores", "run", run)
+    K.write_run_partition(FT.rank_auc(scores), f"{out}/ctr_figures", "run", run)
+    figures = K.read_partition(spark, f"{out}/ctr_figures", "run", run).first()
+    return {"run": run, "model": path, "n_rows": figures["n_rows"], "n_clicked": figures["n_clicked"], "auc": figures["auc"]}

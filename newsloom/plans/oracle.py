@@ -569,3 +569,16 @@ near AS (SELECT a.tok AS a, b.tok AS b FROM kept a CROSS JOIN (SELECT unnest([1,
 SELECT word, other, count(*) AS n
 FROM (SELECT a AS word, b AS other FROM near UNION ALL SELECT b, a FROM near) GROUP BY ALL HAVING count(*) >= 3
 """
+
+ORACLE["popularity_auc"] = _with(BEHAVIOR_CTES) + """,
+r AS (SELECT article_id, CAST(clicked AS INTEGER) AS clicked, sum(CAST(clicked AS INTEGER)) OVER (PARTITION BY article_id) AS s FROM basic),
+c AS (SELECT s, sum(clicked) AS ones, sum(1 - clicked) AS zeros FROM r GROUP BY s),
+b AS (SELECT *, sum(zeros) OVER (ORDER BY s) - zeros AS below FROM c)
+SELECT CAST(sum(ones) + sum(zeros) AS BIGINT) AS n_rows, CAST(sum(ones) AS BIGINT) AS n_clicked,
+       round(sum(ones * (below + zeros / 2.0)) / (sum(ones) * sum(zeros)), 9) AS auc FROM b
+"""
+
+ORACLE["ctr_training_set_wide"] = ORACLE["ctr_training_set"].replace(
+    "SELECT t.*, 0 AS pos, CAST(t.channel_id AS DOUBLE) AS value FROM tr_rows t",
+    "SELECT t.*, k AS pos, CAST(k + 1 = t.channel_id AS DOUBLE) AS value FROM tr_rows t, (SELECT unnest(range(25)) AS k)"
+).replace("x.i AS pos", "24 + x.i AS pos").replace("64 + u.slot", "88 + u.slot").replace("74 + a.slot", "98 + a.slot")

@@ -28,6 +28,7 @@ def read_jdbc_incremental(spark: SparkSession, url: str, table: str, check_col:
                           properties: dict | None = None) -> DataFrame:
     """S2/S3 against a relational source: parallel range-partitioned JDBC read
     (the reference's 4 mappers) of the rows changed since ``last_value``."""
+    last_value = last_value.replace("'", "''")   # a value, never SQL
     reader = (spark.read.format("jdbc").option("url", url)
               .option("dbtable", f"(SELECT * FROM {table} WHERE {check_col} >= '{last_value}') t")
               .option("partitionColumn", partition_col).option("lowerBound", lower)

@@ -63,3 +63,36 @@ def test_ctr_fit_and_score_in_unit_range(spark):
     s = FT.ctr_scores(m, t).collect()
     assert len(s) == 100 and all(0.0 <= r.p_click <= 1.0 for r in s)
     assert 0.0 <= FT.auc(FT.ctr_scores(m, t)) <= 1.0
+
+
+def test_rank_auc_equals_all_pairs(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(k, rng.choice([0.1, 0.2, 0.5, rng.random()]), int(rng.random() < 0.3)) for k in range(300)]
+    frame = spark.createDataFrame(rows, "user_id long, p_click double, clicked int")
+    ones, zeros = [s for _, s, y in rows if y], [s for _, s, y in rows if not y]
+    want = sum((a > b) + (a == b) / 2 for a in ones for b in zeros) / (len(ones) * len(zeros))
+    got = FT.rank_auc(frame).first()
+    assert (got["n_rows"], got["n_clicked"]) == (300, len(ones)) and abs(got["auc"] - want) < 1e-12
+    assert abs(FT.auc(frame) - want) < 1e-9
+    assert FT.rank_auc(frame.where("clicked = 1")).first()["auc"] is None
+    assert FT.rank_auc(frame.limit(0)).first()["n_rows"] == 0
+
+
+def test_ctr_model_is_saved_reloaded_and_judged(spark, tmp_path):
+    import random
+
+    from newsloom.plans import jobs as J
+    rng = random.Random(5)
+    rows = []
+    for user in range(200):
+        for article in range(5):
+            x = [rng.gauss(0, 1) for _ in range(3)]
+            rows.append((user, article, 1, int(x[0] + 0.3 * rng.gauss(0, 1) > 0.5), x))
+    data = spark.createDataFrame(rows, "user_id long, article_id long, channel_id int, clicked int, features array<double>")
+    out = str(tmp_path / "ctr")
+    found = J.update_ctr_model(data, out, "2024-02-01 00:00:00", max_iter=20)
+    assert found["auc"] > 0.9 and 0 < found["n_rows"] < len(rows) / 2
+    scored = spark.read.parquet(f"{out}/ctr_scores")
+    assert scored.select("user_id").distinct().count() * 5 == found["n_rows"]   # whole users are held out
+    assert J.update_ctr_model(data, out, "2024-02-01 00:00:00", max_iter=20)["auc"] == found["auc"]   # again: replaced
