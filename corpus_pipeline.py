@@ -1,7 +1,8 @@
 """Corpus pipeline: the training-data operators chained over ``documents``.
 
 Each stage takes (spark, docs, sf_dir), works on all rows the stage before it kept, and returns the
-columns of documents; the last one adds the epoch and the number of words that the mix takes.
+columns of documents; the last one adds the epoch and the number of words that the mix takes. Columns
+may have any names: the stages carry them under names of their own.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from newsloom.llm.simhash import drop_near_copies
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (no letter) go."""
+    """Documents in which no language can be told (no letter) go; a missing ``lang`` gets the predicted one."""
     return drop_unidentified(docs)
 
 
