@@ -38,6 +38,8 @@ SEEDS = 2          # data tiles a query tile meets before anything is skipped
 CHUNK_TILES = 64   # data tiles in one chunk of a query tile
 SLACK = 1e-6       # products are off by far less than this times the scale of the vectors
 LOCALITY_BITS = 16
+SPARE = 32         # partners beyond k whose true values are computed
+EXACT_NUMBERS = 1 << 21   # numbers handled at once there
 DISTANCE, INNER = "distance", "inner"
 
 TILE_SCHEMA = ("tile long, group_id int, members array<long>, ids binary, matrix binary, centre array<double>, radius double, "
@@ -120,31 +122,49 @@ class Best:
             return bool(bound <= self.thresholds().max() + SLACK)
         return bool((-self.norms * bound <= self.thresholds() + SLACK).any())
 
+    def _exact(self, queries: np.ndarray, ids: np.ndarray, matrix: np.ndarray, at: np.ndarray, there: np.ndarray) -> None:
+        """Take the partners ``at`` (one row of places a query; only those ``there`` count) by their true cost."""
+        mine = self.matrix[queries][:, None, :]
+        if self.metric == DISTANCE:
+            cost = np.sqrt(((matrix[at] - mine) ** 2).sum(axis=2))
+            there = there & (cost < self.limit)
+        else:
+            cost = -(matrix[at] * mine).sum(axis=2)
+        cost = np.concatenate((self.cost[queries], np.where(there, cost, np.inf)), axis=1)
+        partner = np.concatenate((self.partner[queries], np.where(there, ids[at], np.iinfo(np.int64).max)), axis=1)
+        order = np.lexsort((partner, np.round(cost, 9)), axis=-1)[:, : self.k]
+        self.cost[queries] = np.take_along_axis(cost, order, axis=1)
+        self.partner[queries] = np.take_along_axis(partner, order, axis=1)
+
     def meet(self, ids: np.ndarray, matrix: np.ndarray) -> None:
         product = self.matrix @ matrix.T
         scale = max(1.0, float(self.norms.max()), float(np.sqrt((matrix ** 2).sum(axis=1).max())))
-        slack, tiny = SLACK * (scale if self.metric == DISTANCE else scale ** 2), 1e-3 * scale
-        if self.metric == DISTANCE:
+        if self.metric == DISTANCE:  # rounding errors under the root stay far below the slack, also near 0
             rough = np.sqrt(np.maximum(self.squares[:, None] + (matrix ** 2).sum(axis=1) - 2 * product, 0.0))
+            slack = SLACK * scale
+            rough[self.ids[:, None] == ids[None, :]] = np.inf
         else:
-            rough = -product
-        # sqrt of a rounding error near 0 is large: keep everything that is close there
-        near = (rough <= self.thresholds()[:, None] + slack) | (rough < tiny if self.metric == DISTANCE else False)
-        near &= self.ids[:, None] != ids[None, :] if self.metric == DISTANCE else True
-        for q in np.flatnonzero(near.any(axis=1)):
-            some = np.flatnonzero(near[q])
-            if len(some) > 4 * self.k:  # the best by product, with slack for rounding
-                reach = np.partition(rough[q, some], self.k - 1)[self.k - 1] + slack
-                some = some[(rough[q, some] <= reach) | (rough[q, some] < tiny if self.metric == DISTANCE else False)]
-            if self.metric == DISTANCE:
-                exact = np.sqrt(((matrix[some] - self.matrix[q]) ** 2).sum(axis=1))
-                some, exact = some[exact < self.limit], exact[exact < self.limit]
-            else:
-                exact = -(matrix[some] * self.matrix[q]).sum(axis=1)
-            cost = np.concatenate((self.cost[q], exact))
-            partner = np.concatenate((self.partner[q], ids[some]))
-            order = np.lexsort((partner, np.round(cost, 9)))[: self.k]
-            self.cost[q], self.partner[q] = cost[order], partner[order]
+            rough, slack = -product, SLACK * scale ** 2
+        rough[rough > self.thresholds()[:, None] + slack] = np.inf
+        queries = np.flatnonzero(np.isfinite(rough).any(axis=1))
+        if not len(queries):
+            return
+        rough = rough[queries]
+        wide = min(rough.shape[1], self.k + SPARE)
+        at = np.argpartition(rough, wide - 1, axis=1)[:, :wide] if wide < rough.shape[1] else \
+            np.broadcast_to(np.arange(wide), rough.shape)
+        if wide < rough.shape[1]:  # more than SPARE partners may tie with the k-th: all that could are taken
+            kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
+            tied = np.flatnonzero(((rough <= kth[:, None] + slack) & np.isfinite(rough)).sum(axis=1) > wide)
+            for q in tied:
+                some = np.flatnonzero(rough[q] <= kth[q] + slack)[None, :]
+                self._exact(queries[q:q + 1], ids, matrix, some, np.ones(some.shape, dtype=bool))
+            plain = np.setdiff1d(np.arange(len(queries)), tied)
+            queries, rough, at = queries[plain], rough[plain], at[plain]
+        step = max(1, EXACT_NUMBERS // (wide * matrix.shape[1]))
+        for lo in range(0, len(queries), step):
+            some = slice(lo, lo + step)
+            self._exact(queries[some], ids, matrix, at[some], np.isfinite(np.take_along_axis(rough[some], at[some], axis=1)))
 
     def rows(self) -> pa.RecordBatch:
         q, at = np.nonzero(np.isfinite(self.cost))

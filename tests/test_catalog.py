@@ -10,7 +10,9 @@ from tools.compare import TABLES, frame_hash
 FAST = ["action_flatten", "behavior_merge", "interest_weight", "user_age", "upsert_by_key", "clean_title",
         "strip_html", "drop_delims", "article_sentence", "tokens", "token_filtered", "vocab_idf", "tfidf_top20",
         "last_hour_articles", "id_index", "channel_centroid", "hot_articles", "new_articles", "similar_top10",
-        "similar_exact_top10", "recall_lists", "log_partition_day", "log_range_counts", "sink_round_trip", "online_recall"]
+        "similar_exact_top10", "recall_lists", "log_partition_day", "log_range_counts", "sink_round_trip", "online_recall",
+        "similar_tiled_top10", "vector_recall_top10", "import_increments", "vocab_maintained", "popularity_auc",
+        "new_articles_stream"]
 
 
 def test_entry_smoke(spark):
