@@ -66,14 +66,12 @@ def with_row_id(df: DataFrame, *columns: Column) -> DataFrame:
     """
     df = stable(df)
     meta = df.metadataColumn("_metadata")
-    rows = df.select(meta["file_path"].alias("_path"), meta["row_index"].alias("_at"),
-                     F.struct(*columns).alias("_values") if columns else F.lit(0).alias("_values"))
+    rows = df.select(meta["file_path"].alias("_path"), meta["row_index"].alias("_at"), *columns)
+    names = rows.columns[2:]
     # at most MAX_FILES short rows
     bases = F.broadcast(_file_bases(df.sparkSession, df.inputFiles()))
     known = F.coalesce("_base", F.raise_error(F.concat(F.lit("rows of an unlisted file: "), F.col("_path"))).cast("long"))
-    rows = rows.join(bases, "_path", "left").select((known + F.col("_at")).alias(ROW), "_values")
-    return rows.select(ROW, *[F.col(f"_values.`{c}`").alias(c) for c in rows.schema["_values"].dataType.names]) if columns \
-        else rows.select(ROW)
+    return rows.join(bases, "_path", "left").select((known + F.col("_at")).alias(ROW), *names)
 
 
 def with_all_columns(docs: DataFrame) -> tuple[DataFrame, list[Column]]:

@@ -34,7 +34,9 @@ from newsloom.llm.repeats import covered
 WINDOW, SHINGLE = 13, 3
 BLOCK_WINDOWS = 200_000
 #: Bytes of text handled by one pass of numpy.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+#: Rows whose texts are held as Python strings at once.
+SLICE_ROWS = 256
 #: Word characters: digits, letters (A-Z lowered), and everything beyond ASCII; others separate.
 _WORD = bytes((b + 32 if 65 <= b <= 90 else b) if 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128
               else 32 for b in range(256))
@@ -194,7 +196,7 @@ def _count_pass(docs: DataFrame, block: Block, window: int) -> dict[int, np.ndar
     """Occurrences of the block's shingles in all documents (a bounded number of sums)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = {k: np.zeros(len(t), dtype=np.int64) for k, t in block.tokens.items()}
-        for batch in batches:
+        for batch in _slices(batches):
             for words, bounds, _, _ in _pieces(batch.column("text").to_pylist(), window):
                 for k, n in block.count(words, bounds).items():
                     totals[k] += n
@@ -210,10 +212,15 @@ def _count_pass(docs: DataFrame, block: Block, window: int) -> dict[int, np.ndar
     return counts
 
 
-def _occurrence_pass(docs: DataFrame, block: Block, window: int) -> DataFrame:
-    """``_row``, ``id``, ``n_words``, ``hits`` (item, first, end) of every document, for one block."""
+HIT = pa.struct([("item", pa.string()), ("first", pa.int64()), ("end", pa.int64())])
+HITS = "hits array<struct<item:string,first:long,end:long>>"
+
+
+def _occurrence_pass(docs: DataFrame, block: Block, window: int, totals: bool) -> DataFrame:
+    """``_row``, ``id``, ``n_words``, ``hits`` (item, first, end) of every document, for one block; with
+    ``totals`` (the only block) also what ``_with_totals`` adds, by the same Python worker."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             n = batch.num_rows
             total = np.zeros(n, dtype=np.int64)
             spans: list[dict[str, list[list[int]]]] = [{} for _ in range(n)]
@@ -231,35 +238,45 @@ def _occurrence_pass(docs: DataFrame, block: Block, window: int) -> DataFrame:
                         else:
                             runs.append([lo, lo + size])
             hits = [[{"item": i, "first": a, "end": b} for i, runs in s.items() for a, b in runs] for s in spans]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(ROW), batch.column("id"), pa.array(total),
-                 pa.array(hits, pa.list_(pa.struct([("item", pa.string()), ("first", pa.int64()), ("end", pa.int64())])))],
-                names=[ROW, "id", "n_words", "hits"])
+            columns = [batch.column(ROW), batch.column("id"), pa.array(total), pa.array(hits, pa.list_(HIT))]
+            names = [ROW, "id", "n_words", "hits"]
+            if totals:
+                columns, names = columns + _totals(hits, total.tolist()), names + ["n_hit", "items"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"{ROW} long, id {id_type}, n_words long, "
-                                "hits array<struct<item:string,first:long,end:long>>")
+    return docs.mapInArrow(run, f"{ROW} long, id {id_type}, n_words long, {HITS}"
+                                + (", n_hit long, items array<string>" if totals else ""))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
+def _totals(hits: list[list[dict] | None], n_words: list[int]) -> list[pa.Array]:
+    """Words inside an occurrence, and sorted item ids, of every document."""
+    count, names = [], []
+    for found, n in zip(hits, n_words):
+        found = found or []
+        names.append(sorted({h["item"] for h in found}))
+        cover = covered(n, np.array([h["first"] for h in found], dtype=np.int64),
+                        np.array([h["end"] for h in found], dtype=np.int64)) if found else np.zeros(1, bool)
+        count.append(int(cover.sum()))
+    return [pa.array(count, pa.int64()), pa.array(names, pa.list_(pa.string()))]
 
 
 def _with_totals(rows: DataFrame) -> DataFrame:
     """Add ``n_hit`` (words inside an occurrence), ``items`` (sorted ids) from ``hits``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count, names = [], []
-            for hits, n in zip(batch.column("hits").to_pylist(), batch.column("n_words").to_pylist()):
-                hits = hits or []
-                names.append(sorted({h["item"] for h in hits}))
-                cover = covered(n, np.array([h["first"] for h in hits], dtype=np.int64),
-                                np.array([h["end"] for h in hits], dtype=np.int64)) if hits else np.zeros(1, bool)
-                count.append(int(cover.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in (ROW, "id", "n_words", "hits")]
-                + [pa.array(count, pa.int64()), pa.array(names, pa.list_(pa.string()))],
-                names=[ROW, "id", "n_words", "hits", "n_hit", "items"])
+            added = _totals(batch.column("hits").to_pylist(), batch.column("n_words").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in (ROW, "id", "n_words", "hits")] + added,
+                                             names=[ROW, "id", "n_words", "hits", "n_hit", "items"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"{ROW} long, id {id_type}, n_words long, hits array<struct<item:string,first:long,"
-                                "end:long>>, n_hit long, items array<string>")
+    return rows.mapInArrow(run, f"{ROW} long, id {id_type}, n_words long, {HITS}, n_hit long, items array<string>")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -276,14 +293,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         rows = windows.filter(F.col("block") == number).select("words", "items").collect()
         block = Block([(bytes(r["words"]), list(r["items"])) for r in rows], shingle) if rows else Block([], shingle)
         block.choose_prefixes(_count_pass(source, block, window) if rows else {})
-        hits = _occurrence_pass(source, block, window)
+        hits = _occurrence_pass(source, block, window, totals=blocks == 1)
         if blocks > 1:
             hits = materialise(hits if number == 0 else hits.filter(F.size("hits") > 0), f"bench-hits-{number}")
         found = hits if found is None else found.union(hits)
     if blocks > 1:
         found = found.groupBy(ROW).agg(F.first("id").alias("id"), F.max("n_words").alias("n_words"),
                                        F.flatten(F.collect_list("hits")).alias("hits"))
-    return _with_totals(found).withColumn(
+        found = _with_totals(found)
+    return found.withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 

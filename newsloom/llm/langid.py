@@ -206,6 +206,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
+#: Rows whose texts are labelled at once.
+SLICE_ROWS = 1024
+
+
 def held_out(id_col: Column) -> Column:
     """Rows that are never learned from: crc32 of the id as text, modulo 3, is 1."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -321,7 +325,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         for batch in batches:
             names, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             if labeller:
-                names, scores = labeller.label(batch.column("text").to_pylist())
+                names, scores = [], []
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    some = labeller.label(batch.column("text").slice(at, SLICE_ROWS).to_pylist())
+                    names, scores = names + some[0], scores + some[1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(ROW), batch.column("id"), batch.column("held_out"), pa.array(names, pa.string()),
                  pa.array(scores, pa.float64())], names=[ROW, "id", "held_out", "lang_pred", "score"])

@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+            found = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(ROW), batch.column("id"), pa.array(found.view(np.int64))], names=[ROW, "id", "fp"])
 
