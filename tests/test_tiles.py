@@ -109,3 +109,36 @@ def test_largest_inner_products(spark):
     assert got == want
     c = counts.first()
     assert c["n_sent"] < c["n_pairs"]
+
+
+def test_a_data_tile_is_sent_once_a_block(spark, monkeypatch):
+    """Forty query tiles in two blocks meet forty data tiles: a tile travels for each block, not for each pair."""
+    rng = np.random.default_rng(6)
+    u, i = (spark.createDataFrame([(j, 1, rng.normal(size=3).tolist()) for j in range(320)], "id long, group_id int, vec array<double>")
+            for _ in range(2))
+    sent, send = [], TL._send
+    monkeypatch.setattr(TL, "_send", lambda *a: sent.append(send(*a)) or sent[-1])
+    found, counts = TL.best_partners(u, i, 3, TL.INNER, 3, tile_rows=8, block_tiles=24)
+    users, items = ({r["id"]: r["vec"] for r in x.collect()} for x in (u, i))
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["partner"])
+    assert got == {k: [j for _, j in sorted((-round(float(np.dot(v, w)), 9) + 0.0, j) for j, w in items.items())[:3]]
+                   for k, v in users.items()}
+    c = counts.first()
+    rest = sent[1].where("turn = 1")
+    n_sent = c["n_sent"] - sent[0].where("turn = 1").selectExpr("sum(size(takers))").first()[0]
+    assert rest.selectExpr("sum(size(takers))").first()[0] == n_sent and rest.count() <= 100 < n_sent
+
+
+def test_farthest_below_the_limit(spark):
+    rows = [(i, 1, v) for i, _, v in clustered(200) if v is not None]
+    named = TL._named(spark.createDataFrame(rows, SCHEMA), "article_id", "articleVector")
+    found, _ = TL.best_partners(named, named, 4, TL.FARTHEST, 6, 3.0, tile_rows=16, block_tiles=3)
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["partner"])
+    vecs = {i: np.array(v) for i, _, v in rows}
+    want = {i: [j for _, j in sorted((-round(float(np.sqrt(((w - v) ** 2).sum())), 9), j) for j, w in vecs.items()
+                                     if j != i and np.sqrt(((w - v) ** 2).sum()) < 3.0)[:4]] for i, v in vecs.items()}
+    assert got == {i: x for i, x in want.items() if x}
