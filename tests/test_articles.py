@@ -109,3 +109,19 @@ def test_topics_modes_and_profile(spark):
     w = A.keyword_weights(tr, vocab)                             # 'z' is not in the vocabulary
     prof = A.article_profile(w, A.article_topics(tfidf, tr, "global")).collect()
     assert [(r.article_id, r.keywords, r.topics) for r in prof] == [(1, {"b": 2.0}, ["b"])]
+
+
+def test_term_frequency_adds_up_rows_of_an_article_and_keeps_no_table_in_a_task(spark):
+    from collections import Counter
+    rng = __import__("random").Random(2)
+    rows = [(rng.choice([None, 1, 2, 3, 50 + i]), rng.choice([None, 1, 2]),
+             rng.choice([None, [], [rng.choice(["aa", "the", "bcd", "é", "zz top", "xyz"]) for _ in range(9)]])) for i in range(300)]
+    words = spark.createDataFrame(rows, "article_id long, channel_id int, words array<string>").repartition(5)
+    want = Counter((a, c, w) for a, c, ws in rows for w in ws or [])
+    out = A.term_frequency(words, filtered=False)
+    got = [((r.article_id, r.channel_id, r.token), r.tf) for r in out.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert "HashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    kept = {k: n for k, n in want.items() if k[2] in ("bcd", "xyz", "zz top")}
+    assert {(r.article_id, r.channel_id, r.token): r.tf for r in A.term_frequency(words).collect()} == kept
+    assert A.term_frequency(words.limit(0)).collect() == []
