@@ -105,3 +105,19 @@ def test_imports_take_every_row_once(spark, tmp_path):
     assert job.fresh(source(second)).count() == 3
     assert sorted((r["k"], r["v"]) for r in job.run(source(second), "3").collect()) == want
     assert job.fresh(source(second).limit(0)).count() == 0
+
+
+def test_products_and_counts_are_added_up_in_place(spark, monkeypatch):
+    """No aggregate that sorts its rows, one shuffle of the pairs; pieces of a batch and empty lists count alike."""
+    monkeypatch.setattr(EM, "PIECE_ROWS", 7)
+    texts = _texts(40, 9) + [[], [None], ["w1"], ["w1", "w1"]]
+    counts = EM.cooccurrence(spark.createDataFrame([(t,) for t in texts] + [(None,)], "words array<string>"), 3)
+    assert {(r["word"], r["other"]): r["n"] for r in counts.collect()} == _brute_counts(texts, 3)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+    vectors = spark.createDataFrame([("w1", [1.0, 2.0]), ("w2", [0.5, -1.0])], "word string, vec array<double>")
+    matrix = spark.createDataFrame([("a", "w1", 2.0), ("a", "w2", 4.0), ("b", "w2", 1.0)], "word string, other string, value double")
+    product = EM._times(matrix, vectors, 2)
+    assert {r["word"]: r["vec"] for r in product.collect()} == {"a": [4.0, 0.0], "b": [0.5, -1.0]}
+    plan = product._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "HashAggregate" in plan
