@@ -96,3 +96,27 @@ def test_ctr_model_is_saved_reloaded_and_judged(spark, tmp_path):
     scored = spark.read.parquet(f"{out}/ctr_scores")
     assert scored.select("user_id").distinct().count() * 5 == found["n_rows"]   # whole users are held out
     assert J.update_ctr_model(data, out, "2024-02-01 00:00:00", max_iter=20)["auc"] == found["auc"]   # again: replaced
+
+
+def test_map_values_by_prefix_reads_a_map_once(spark):
+    from newsloom.functions import arrays as AR
+    maps = [{"1:b": 2.0, "11:a": 1.0, "1:a": 3.0, "2:x:y": 5.0}, {}, {"7:t": 0.5}]
+    frame = spark.createDataFrame([(i, m) for i, m in enumerate(maps)], "i int, m map<string,double>")
+    out = frame.select("i", AR.map_values_by_prefix(F.col("m")).alias("p"))
+    got = {r["i"]: {k: sorted(v) for k, v in r["p"].items()} for r in out.collect()}
+    assert got == {0: {"1": [2.0, 3.0], "11": [1.0], "2": [5.0]}, 1: {}, 2: {"7": [0.5]}}
+
+
+def test_training_rows_are_joined_to_vectors_last(spark):
+    """Repeated keys multiply as in plain joins, and the user's weights are joined before the vectors."""
+    b = spark.createDataFrame([(1, 10, True), (1, 10, False), (2, 11, True), (2, 99, True)], "user_id long, article_id long, clicked boolean")
+    v = spark.createDataFrame([(10, 3, [0.1]), (10, 3, [0.2]), (10, 4, [0.3]), (11, None, [0.4])],
+                              "article_id long, channel_id int, articleVector array<double>")
+    uw = spark.createDataFrame([(1, 3, [1.0]), (1, 4, [2.0]), (2, 3, [3.0])], "user_id long, channel_id int, weights array<double>")
+    aw = spark.createDataFrame([(10, [9.0]), (10, [8.0]), (11, [7.0])], "article_id long, weights array<double>")
+    out = FT.ctr_training_set(b, uw, v, aw)
+    want = sorted((1, 10, c, k, [float(c), x, w, a]) for k in (0, 1) for a in (8.0, 9.0)
+                  for c, x, w in ((3, 0.1, 1.0), (3, 0.2, 1.0), (4, 0.3, 2.0)))
+    assert sorted((r.user_id, r.article_id, r.channel_id, r.clicked, r.features) for r in out.collect()) == want
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert "channel_id" in joins[0] and "article_id" in joins[0]   # the outermost join is that with the vectors
