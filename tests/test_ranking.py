@@ -1,11 +1,15 @@
-"""TextRank of a batch at once."""
+"""TextRank of a batch at once, topic weights dealt before their topics are exploded, one pass of top-k."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from newsloom.operators import articles as A
+from newsloom.operators import behavior as BH
+from newsloom.operators.topk import top_k
 
 
 def _plain(words, k, window=5, rounds=10, damping=0.85):
@@ -44,3 +48,30 @@ def test_articles_are_ranked_side_by_side(monkeypatch):
         assert [w for w, _ in ranked] == [w for w, _ in want]
         assert np.allclose([x for _, x in ranked], [x for _, x in want], atol=1e-12)
     assert A.rank_words(texts[5], 8) == got[5]
+
+
+def test_topics_are_exploded_after_the_shuffle(spark):
+    basic = spark.createDataFrame(
+        [(1, 10, "2024-01-01 00:00:00"), (1, 11, "2024-01-03 00:00:00"), (1, 12, "2024-01-03 00:00:00"), (2, 10, "2024-01-02 00:00:00"),
+         (None, 10, "2024-01-02 00:00:00"), (3, 99, "2024-01-02 00:00:00")], "user_id long, article_id long, action_time string"
+    ).select("*", *[F.lit(True).alias(c) for c in ("shared", "clicked", "collected")], F.lit(2000).cast("long").alias("read_time"))
+    topics = spark.createDataFrame([(10, 1, ["a", "b"]), (11, 1, ["b"]), (12, 2, ["b"]), (12, 1, ["b", "c"])], "article_id long, channel_id int, topics array<string>")
+    found = BH.user_topic_weights(basic, topics, "2024-02-01 00:00:00")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Exchange" not in plan[:plan.index("Generate")]
+    keys = sorted(((r["user_id"], r["channel_id"], r["topic"]) for r in found.collect()), key=str)
+    assert keys == sorted([(1, 1, "a"), (1, 1, "b"), (1, 1, "c"), (1, 2, "b"), (2, 1, "a"), (2, 1, "b"), (None, 1, "a"), (None, 1, "b")], key=str)
+
+
+def test_salted_top_k_ranks_once_where_groups_are_cut_before_the_shuffle(spark):
+    rows = spark.range(400).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    windows = lambda f: len(re.findall(r"[+:]- Window \[", f._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]))
+    once = top_k(rows, ["g"], [F.col("v").desc()], 5, salt=8)
+    assert windows(once) == 1
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        twice = top_k(rows, ["g"], [F.col("v").desc()], 5, salt=8)
+        assert windows(twice) == 2
+        assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) and twice.count() == 15
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
